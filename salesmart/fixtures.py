@@ -22,6 +22,7 @@ LOAD_TIME = "2026-01-01 06:00:00"
 LINE_ORDER = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_extendedprice"]
 
 _tables: dict[tuple[str, str, str], DataFrame] = {}
+_dims: dict[tuple[str, str], Dims] = {}
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -110,6 +111,11 @@ def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _once(spark, sf_dir, "staged", lambda _: staging.stage(pos_rows(spark, sf_dir), load_time()))
 
 
+def staged_path(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the staged rows' files."""
+    return staged(spark, sf_dir).inputFiles()[0].rsplit("/", 1)[0]
+
+
 def loaded_before(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transaction ids an earlier load already put into the fact."""
     return _once(
@@ -123,6 +129,13 @@ def loaded_before(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dims(spark: SparkSession, sf_dir: str) -> Dims:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _dims:
+        _dims[key] = _build_dims(spark, sf_dir)
+    return _dims[key]
+
+
+def _build_dims(spark: SparkSession, sf_dir: str) -> Dims:
     def store(_: Scratch) -> DataFrame:
         nations = read(spark, sf_dir, "nation").where("n_nationkey < 12")
         regions = read(spark, sf_dir, "region").withColumnRenamed("r_regionkey", "n_regionkey")
@@ -149,9 +162,9 @@ def dims(spark: SparkSession, sf_dir: str) -> Dims:
         )
         return dim_ops.build_product(source, now=load_time()).coalesce(1)
 
-    def payment(_: Scratch) -> DataFrame:
+    def payment(scratch: Scratch) -> DataFrame:
         methods = read(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("payment_method")).distinct()
-        return dim_ops.build_payment(methods).coalesce(1)
+        return dim_ops.build_payment(methods, scratch=scratch).coalesce(1)
 
     def date(_: Scratch) -> DataFrame:
         return calendar.build(spark, CALENDAR_START, CALENDAR_END)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from salesmart import schema
 from salesmart.operators.ids import assign_dim_keys
-from salesmart.operators.lookups import broadcast_if_small
+from salesmart.operators.lookups import BROADCAST_ROWS, is_small
+from salesmart.storage import Scratch
 
 NATURAL_KEYS = {
     "store": ("store_key", "store_id"),
@@ -20,13 +21,25 @@ NATURAL_KEYS = {
 
 @dataclass(frozen=True)
 class Dims:
+    """The four dimensions; they should be written tables, so that counting them is cheap."""
+
     store: DataFrame
     product: DataFrame
     payment: DataFrame
     date: DataFrame
+    max_rows: int = BROADCAST_ROWS
+    _small: dict[str, bool] = field(default_factory=dict, compare=False, repr=False)
 
     def items(self) -> list[tuple[str, DataFrame]]:
-        return [(f.name, getattr(self, f.name)) for f in fields(self)]
+        return [(name, getattr(self, name)) for name in NATURAL_KEYS]
+
+    def pick(self, part: str, *columns: str | Column) -> DataFrame:
+        """Columns of one dimension to join with: broadcast when its row count is within ``max_rows``,
+        otherwise left to a shuffle join, where adaptive execution splits hot keys."""
+        if part not in self._small:
+            self._small[part] = is_small(getattr(self, part), self.max_rows)
+        picked = getattr(self, part).select(*columns)
+        return F.broadcast(picked) if self._small[part] else picked
 
 
 class DimensionContractError(ValueError):
@@ -43,20 +56,30 @@ def _conform(df: DataFrame, target) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target])
 
 
-def build_store(source: DataFrame, existing: DataFrame | None = None, now: Column | None = None) -> DataFrame:
+def _keyed(source: DataFrame, part: str, scratch: Scratch | None, existing: DataFrame | None) -> DataFrame:
+    key, natural = NATURAL_KEYS[part]
+    if key in source.columns:
+        return source
+    return assign_dim_keys(source, key, natural, scratch or Scratch(source.sparkSession, f"dim-{part}"), existing)
+
+
+def build_store(
+    source: DataFrame, existing: DataFrame | None = None, now: Column | None = None, scratch: Scratch | None = None
+) -> DataFrame:
     """Overwrite-style refresh: attributes from ``source``, keys of known stores kept."""
-    keyed = source if "store_key" in source.columns else assign_dim_keys(source, "store_key", "store_id", existing)
+    keyed = _keyed(source, "store", scratch, existing)
     return _conform(_stamp(keyed, now), schema.DIM_STORE)
 
 
-def build_product(source: DataFrame, existing: DataFrame | None = None, now: Column | None = None) -> DataFrame:
-    keyed = source if "product_key" in source.columns else assign_dim_keys(source, "product_key", "product_sku", existing)
+def build_product(
+    source: DataFrame, existing: DataFrame | None = None, now: Column | None = None, scratch: Scratch | None = None
+) -> DataFrame:
+    keyed = _keyed(source, "product", scratch, existing)
     return _conform(_stamp(keyed, now), schema.DIM_PRODUCT)
 
 
-def build_payment(source: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    keyed = source if "payment_key" in source.columns else assign_dim_keys(source, "payment_key", "payment_method", existing)
-    return _conform(keyed, schema.DIM_PAYMENT)
+def build_payment(source: DataFrame, existing: DataFrame | None = None, scratch: Scratch | None = None) -> DataFrame:
+    return _conform(_keyed(source, "payment", scratch, existing), schema.DIM_PAYMENT)
 
 
 def contract_violations(dims: Dims) -> DataFrame:
@@ -103,9 +126,9 @@ def lookup(rows: DataFrame, dims: Dims, collation: str | None = None) -> DataFra
     out = rows
     for part in ("store", "product", "payment"):
         key, natural = NATURAL_KEYS[part]
-        keys = getattr(dims, part).select(F.col(natural).alias("_natural"), key)
+        keys = dims.pick(part, F.col(natural).alias("_natural"), key)
         here, there = F.col(natural), F.col("_natural")
         if collation:
             here, there = F.collate(here, collation), F.collate(there, collation)
-        out = out.join(broadcast_if_small(keys), here == there, "left").drop("_natural")
+        out = out.join(keys, here == there, "left").drop("_natural")
     return out

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from salesmart.operators.dims import Dims
-from salesmart.operators.lookups import attach, broadcast_if_small
+from salesmart.operators.lookups import attach
 from salesmart.storage import Scratch
 
 NOT_NULL, FOREIGN_KEY, UNIQUE = "not_null", "foreign_key", "unique"
@@ -17,8 +17,8 @@ class GateViolation(ValueError):
 
 
 def mark_calendar(rows: DataFrame, dims: Dims) -> DataFrame:
-    known = dims.date.select("date_key", F.lit(True).alias("_in_calendar"))
-    return rows.join(broadcast_if_small(known), "date_key", "left")
+    known = dims.pick("date", "date_key", F.lit(True).alias("_in_calendar"))
+    return rows.join(known, "date_key", "left")
 
 
 def missing_measure():

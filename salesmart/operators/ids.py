@@ -44,13 +44,14 @@ def number_positions(placed: DataFrame, id_name: str, start: int = 1) -> DataFra
     )
 
 
-def assign_dim_keys(df: DataFrame, key: str, natural: str, existing: DataFrame | None = None) -> DataFrame:
-    """Keep the keys of known natural values and number new ones after the largest (dimension-sized input)."""
-    by_name = Window.orderBy(natural)
+def assign_dim_keys(
+    df: DataFrame, key: str, natural: str, scratch: Scratch, existing: DataFrame | None = None
+) -> DataFrame:
+    """Keep the keys of known natural values and number new ones, by name, after the largest."""
     if existing is None:
-        return df.withColumn(key, F.row_number().over(by_name))
+        return assign_ids(df, key, scratch, [natural])
     known = existing.select(natural, key)
     top = known.agg(F.max(key)).first()[0] or 0
     kept = df.join(known, natural)
-    fresh = df.join(known, natural, "left_anti").withColumn(key, F.row_number().over(by_name) + top)
+    fresh = assign_ids(df.join(known, natural, "left_anti"), key, scratch, [natural], start=top + 1)
     return kept.unionByName(fresh.select(*kept.columns))

@@ -80,7 +80,8 @@ def metrics(validated: DataFrame, loaded: DataFrame) -> DataFrame:
         F.count_if((F.col("validation_status") == PASS) & unresolved).alias("rows_unresolved"),
     )
     counted = loaded.agg(F.count("*").alias("rows_loaded"))
-    return passed.join(F.broadcast(counted)).select(
+    both = passed.unionByName(counted, allowMissingColumns=True)
+    return both.agg(*[F.sum(name).alias(name) for name in ("rows_passed", "rows_unresolved", "rows_loaded")]).select(
         "rows_passed",
         "rows_unresolved",
         (F.col("rows_passed") - F.col("rows_unresolved") - F.col("rows_loaded")).alias("rows_already_present"),

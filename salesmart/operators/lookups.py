@@ -11,9 +11,9 @@ HOT_KEYS = 10_000
 HOT_ROWS = 100_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when a count proves the bound; otherwise Spark picks a shuffle join."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def is_small(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Size check before a broadcast; on a written table the count comes from the file footers."""
+    return table.count() <= max_rows
 
 
 def attach(
@@ -37,7 +37,7 @@ def attach(
     """
     right = scratch.table(right, f"by-{key}")
     payload = [name for name in right.columns if name not in (key, weight)]
-    if right.count() <= max_rows:
+    if is_small(right, max_rows):
         return left.join(F.broadcast(right.drop(weight)), key, "left")
 
     hot = (

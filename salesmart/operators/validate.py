@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from salesmart.functions.casts import is_blank, to_decimal, to_smallint, to_ts
 from salesmart.operators.dims import Dims, lookup
-from salesmart.operators.lookups import BROADCAST_ROWS, attach
+from salesmart.operators.lookups import BROADCAST_ROWS, attach, is_small
 from salesmart.schema import DUPLICATE, FAIL, PASS, REASONS
 from salesmart.storage import Scratch
 
@@ -50,28 +50,33 @@ def rules(options: Options = Options()) -> Column:
     )
 
 
-def loaded_ids(
-    rows: DataFrame, fact_ids: DataFrame, scratch: Scratch, max_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def loaded_ids(rows: DataFrame, fact_ids: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Transaction ids of ``rows`` that the fact already holds, with how many rows carry each.
 
-    Only ids travel, and the batch is counted per id first. A batch of at most ``max_rows`` ids is
+    Only ids travel, and the batch is counted per id first. A batch of at most ``max_rows`` rows is
     broadcast to the fact's files, so the fact is scanned but not shuffled; a larger one is
     shuffle-joined.
     """
     batch = rows.where("transaction_id is not null").groupBy("transaction_id").agg(F.count("*").alias("_rows"))
-    batch = scratch.table(batch, "batch-ids")
-    if batch.count() <= max_rows:
+    if is_small(rows, max_rows):
         matches = fact_ids.select("transaction_id").join(F.broadcast(batch), "transaction_id")
         return matches.dropDuplicates(["transaction_id"])
     return batch.join(fact_ids.select("transaction_id"), "transaction_id", "left_semi")
 
 
 def mark_loaded(
-    rows: DataFrame, fact_ids: DataFrame, scratch: Scratch, max_rows: int = BROADCAST_ROWS, **limits: int
+    rows: DataFrame,
+    fact_ids: DataFrame,
+    scratch: Scratch,
+    source: DataFrame | None = None,
+    max_rows: int = BROADCAST_ROWS,
+    **limits: int,
 ) -> DataFrame:
-    """Add ``is_loaded``: the transaction id is in the fact."""
-    found = loaded_ids(rows, fact_ids, scratch, max_rows).withColumn("_found", F.lit(True))
+    """Add ``is_loaded``: the transaction id is in the fact.
+
+    ``source`` is the written table the ids of ``rows`` come from, when ``rows`` itself is a longer plan.
+    """
+    found = loaded_ids(rows if source is None else source, fact_ids, max_rows).withColumn("_found", F.lit(True))
     marked = attach(rows, found, "transaction_id", "_rows", "stg_id", scratch, max_rows=max_rows, **limits)
     return marked.withColumn("is_loaded", F.coalesce("_found", F.lit(False))).drop("_found")
 
@@ -107,10 +112,10 @@ def run(
     if after_rules:
         rows = lookup(rows, dims, options.collation).withColumn("_rule", rules(options))
         rows = mark_batch_dups(rows, scratch, F.col("_rule").isNull(), **limits)
-        rows = mark_loaded(rows, fact_ids, scratch, **limits)
+        rows = mark_loaded(rows, fact_ids, scratch, staged, **limits)
     else:
         rows = mark_batch_dups(rows, scratch, **limits)
-        rows = mark_loaded(rows, fact_ids, scratch, **limits)
+        rows = mark_loaded(rows, fact_ids, scratch, staged, **limits)
         rows = lookup(rows, dims, options.collation).withColumn("_rule", rules(options))
     duplicate = F.when(F.col("is_loaded") | F.col("is_batch_dup"), F.lit(DUPLICATE))
     verdict = F.coalesce("_rule", duplicate) if after_rules else F.coalesce(duplicate, "_rule")
