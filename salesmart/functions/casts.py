@@ -9,7 +9,7 @@ from salesmart.schema import PRICE
 # Fixed patterns: the number and timestamp texts the warehouse accepts.
 INTEGER_TEXT = r"^\s*[+-]?[0-9]+\s*$"
 DECIMAL_TEXT = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)\s*$"
-TIMESTAMP_TEXT = r"^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?)?\s*$"
+TIMESTAMP_TEXT = r"^\s*(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?)?\s*$"
 
 
 def to_smallint(text: Column) -> Column:
@@ -23,12 +23,11 @@ def to_decimal(text: Column) -> Column:
 
 def to_ts(text: Column) -> Column:
     """ISO date or date-time only: a bare year or time of day would otherwise parse as some other day."""
-    parsed = F.trim(text).try_cast("timestamp_ntz")
-    return F.when(text.rlike(TIMESTAMP_TEXT) & (F.year(parsed) >= 1), parsed)
+    return F.when(text.rlike(TIMESTAMP_TEXT), F.trim(text).try_cast("timestamp_ntz"))
 
 
 def date_key(moment: Column) -> Column:
-    """yyyymmdd as an integer, from calendar fields so it stays in generated code."""
+    """yyyymmdd as an integer; pass a column, since an expression would be worked out three times."""
     return (F.year(moment) * 10000 + F.month(moment) * 100 + F.day(moment)).cast("int")
 
 

@@ -29,9 +29,9 @@ def resolve_keys(rows: DataFrame, dims: Dims, collation: str | None = None) -> D
 
 
 def to_fact_types(rows: DataFrame) -> DataFrame:
-    return rows.select(
+    return rows.withColumn("_moment", to_ts(F.col("transaction_date"))).select(
         "stg_id",
-        date_key(to_ts(F.col("transaction_date"))).alias("date_key"),
+        date_key(F.col("_moment")).alias("date_key"),
         *KEYS,
         "transaction_id",
         blank_to_null(F.col("cashier_id")).alias("cashier_id"),
@@ -47,15 +47,21 @@ def merge_insert(rows: DataFrame, fact_ids: DataFrame, scratch: Scratch, **limit
     return mark_loaded(rows, fact_ids, scratch, **limits).where(~F.col("is_loaded")).drop("is_loaded")
 
 
-def new_rows(validated: DataFrame, fact_ids: DataFrame, dims: Dims, scratch: Scratch, **limits: int) -> DataFrame:
-    """Typed rows ready for the gates; still carries stg_id."""
+def new_rows(
+    validated: DataFrame, fact_ids: DataFrame | None, dims: Dims, scratch: Scratch, **limits: int
+) -> DataFrame:
+    """Typed rows ready for the gates; still carries stg_id.
+
+    ``fact_ids=None`` skips the merge check: validation against the same fact has already failed every
+    row whose id is loaded, so a second pass over the fact's ids would find nothing.
+    """
     typed = to_fact_types(resolve_keys(clean_rows(validated), dims))
-    return merge_insert(typed, fact_ids, scratch, **limits)
+    return typed if fact_ids is None else merge_insert(typed, fact_ids, scratch, **limits)
 
 
 def run(
     validated: DataFrame,
-    fact_ids: DataFrame,
+    fact_ids: DataFrame | None,
     dims: Dims,
     scratch: Scratch,
     on_violation: str = "fail",

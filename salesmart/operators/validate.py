@@ -38,13 +38,13 @@ def rules(options: Options = Options()) -> Column:
         missing = F.col(key).isNull()
         return missing if options.null_fk == "reject" else F.col(natural).isNotNull() & missing
 
-    price = to_decimal(F.col("unit_price"))
+    price = F.coalesce(to_decimal(F.col("unit_price")), F.lit(-1))
     return F.coalesce(
         F.when(is_blank(F.col("transaction_id")), reason("V01")),
         F.when(unknown("store_id", "store_key"), reason("V02", "store_id")),
         F.when(to_ts(F.col("transaction_date")).isNull(), reason("V03", "transaction_date")),
         F.when(unknown("product_sku", "product_key"), reason("V04", "product_sku")),
-        F.when(price.isNull() | (price < 0), reason("V05", "unit_price")),
+        F.when(price < 0, reason("V05", "unit_price")),
         F.when(to_smallint(F.col("quantity")).isNull(), reason("V06", "quantity")),
         F.when(unknown("payment_method", "payment_key"), reason("V07", "payment_method")),
     )

@@ -117,8 +117,8 @@ def cast_matrix(spark, sf):
             },
         ).alias("transaction_date"),
     )
-    moment = to_ts(F.col("transaction_date"))
-    return texts.select(
+    moment = F.col("_moment")
+    return texts.withColumn("_moment", to_ts(F.col("transaction_date"))).select(
         "stg_id",
         to_smallint(qty).alias("quantity"),
         to_decimal(price).alias("unit_price"),

@@ -15,6 +15,8 @@ from salesmart.schema import POS_COLUMNS
 FILE_NAME = r"^(.+?)_sales_(\d{4}-\d{2}-\d{2})\.csv$"
 HEADER_BYTES = 1 << 16
 POSITIONS = 64
+# Files above this size are worth splitting between tasks.
+SPLIT_BYTES = 128 << 20
 
 
 class NoInputFiles(FileNotFoundError):
@@ -127,29 +129,46 @@ def read_pos_csv(
     return out
 
 
+def with_line_breaks(spark: SparkSession, paths: list[str]) -> set[str]:
+    """Files in which a quoted field may run over several lines.
+
+    If every line of a file has an even number of quotes, each line starts outside a quoted field, so
+    every record is one line and the file can be cut at any line.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    open_lines = spark.read.text(paths).where(quotes % 2 == 1)
+    return {r.path for r in open_lines.select(F.col("_metadata.file_path").alias("path")).distinct().collect()}
+
+
 def read_landing(
     spark: SparkSession,
     root: str,
     date: str | dt.date,
     encodings: dict[str, str] | None = None,
-    multi_line: bool = True,
+    split_bytes: int = SPLIT_BYTES,
 ) -> DataFrame:
-    """All store files of one date; ``encodings`` names the stores that do not send UTF-8."""
+    """All store files of one date; ``encodings`` names the stores that do not send UTF-8.
+
+    A file is read by one task, since quoted fields may hold line breaks, unless it is a UTF-8 file
+    above ``split_bytes`` found to hold none.
+    """
     encodings = encodings or {}
     try:
-        arrivals = list_arrivals(spark, root, date).where("store_id is not null").select("path", "store_id").collect()
+        arrivals = list_arrivals(spark, root, date).where("store_id is not null").select("path", "store_id", "length").collect()
     except Exception as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
         arrivals = []
     if not arrivals:
         raise NoInputFiles(f"no store files under {root}/{date}")
-    by_encoding: dict[str, list[str]] = {}
+    big = [r.path for r in arrivals if r.length > split_bytes and encodings.get(r.store_id, "UTF-8") == "UTF-8"]
+    splittable = set(big) - with_line_breaks(spark, big) if big else set()
+    groups: dict[tuple[str, bool], list[str]] = {}
     for row in arrivals:
-        by_encoding.setdefault(encodings.get(row.store_id, "UTF-8"), []).append(row.path)
+        group = encodings.get(row.store_id, "UTF-8"), row.path not in splittable
+        groups.setdefault(group, []).append(row.path)
     out = None
-    for encoding, paths in sorted(by_encoding.items()):
-        # only UTF-8 can be cut at line breaks
-        part = read_pos_csv(spark, sorted(paths), encoding, multi_line or encoding != "UTF-8")
+    for (encoding, multi_line), paths in sorted(groups.items()):
+        part = read_pos_csv(spark, sorted(paths), encoding, multi_line)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out

@@ -1,0 +1,208 @@
+"""The edge matrix: one row per variation, with the status, reason and load outcome it must have."""
+
+from __future__ import annotations
+
+import pytest
+
+from rows import ids, staged
+from salesmart.operators import gates, load, validate
+from salesmart.operators.validate import Options
+
+V = {code: text for code, text in validate.REASONS.items()}
+
+CASES = [
+    # change, reason (None = PASS), loaded
+    ({}, None, True),
+    ({"transaction_id": None}, V["V01"], False),
+    ({"transaction_id": "  "}, V["V01"], False),
+    ({"store_id": "S99"}, V["V02"] + "S99", False),
+    ({"store_id": "s01"}, V["V02"] + "s01", False),
+    ({"store_id": None}, None, False),
+    ({"product_sku": None}, None, False),
+    ({"payment_method": None}, None, False),
+    ({"transaction_date": None}, V["V03"] + "NULL", False),
+    ({"transaction_date": "2025-02-30 00:00:00"}, V["V03"] + "2025-02-30 00:00:00", False),
+    ({"transaction_date": "10:11:12"}, V["V03"] + "10:11:12", False),
+    ({"transaction_date": "2025"}, V["V03"] + "2025", False),
+    ({"transaction_date": "2025-01-05"}, None, True),
+    ({"transaction_date": "2025-01-05T10:00:00.5"}, None, True),
+    ({"transaction_date": "0000-01-05"}, V["V03"] + "0000-01-05", False),
+    ({"product_sku": "NOPE"}, V["V04"] + "NOPE", False),
+    *[({"unit_price": p}, V["V05"] + p, False) for p in ("3.80X", "1,000", "$3.50", "1e3", "-0.01", "100000000.00")],
+    ({"unit_price": None}, V["V05"] + "NULL", False),
+    *[({"unit_price": p}, None, True) for p in ("0", "-0.001", ".5", "3.456")],
+    *[({"quantity": q}, V["V06"] + q, False) for q in ("1.0", "two", "32768", "   ")],
+    ({"quantity": None}, V["V06"] + "NULL", False),
+    *[({"quantity": q}, None, True) for q in ("-1", "0", " 1 ", "+5")],
+    ({"payment_method": "Cheque"}, V["V07"] + "Cheque", False),
+    ({"store_id": "S99", "unit_price": "bad"}, V["V02"] + "S99", False),
+    ({"discount_applied": "1.50"}, None, True),
+    ({"cashier_id": None}, None, True),
+    ({"cashier_id": "  "}, None, True),
+    ({"cashier_id": " C1 "}, None, True),
+]
+
+
+@pytest.fixture(scope="module")
+def judged(spark, dims):
+    from salesmart.storage import Scratch
+
+    scratch = Scratch(spark, "matrix")
+    # each case gets its own day, so that missing ids do not make rows copies of each other
+    changes = []
+    for number, (change, _, _) in enumerate(CASES):
+        if change.get("transaction_id", "") in (None, "  "):
+            change = change | {"transaction_date": f"2025-03-{number + 1:02d} 10:00:00"}
+        changes.append(change)
+    rows = staged(spark, scratch, *changes)
+    checked = scratch.table(validate.run(rows, ids(spark), dims, scratch), "checked")
+    loaded, _ = load.run(checked, ids(spark), dims, scratch)
+    return {r.stg_id: r for r in checked.collect()}, {r.stg_id: r for r in loaded.collect()}
+
+
+@pytest.mark.parametrize("number", range(len(CASES)))
+def test_edge_case(judged, number):
+    checked, loaded = judged
+    _, reason, is_loaded = CASES[number]
+    row = checked[number + 1]
+    assert (row.validation_status, row.rejection_reason) == ("PASS" if reason is None else "FAIL", reason)
+    assert (number + 1 in loaded) == is_loaded
+
+
+def _loaded_value(judged, column: str, value, field: str):
+    number = next(i for i, (change, _, _) in enumerate(CASES, 1) if change.get(column, "") == value and column in change)
+    return getattr(judged[1][number], field)
+
+
+def test_cast_values(judged):
+    price = lambda text: str(_loaded_value(judged, "unit_price", text, "unit_price"))
+    assert [price(t) for t in ("0", "-0.001", ".5", "3.456")] == ["0.00", "0.00", "0.50", "3.46"]
+    quantity = lambda text: _loaded_value(judged, "quantity", text, "quantity")
+    assert [quantity(t) for t in ("-1", "0", " 1 ", "+5")] == [-1, 0, 1, 5]
+    cashier = lambda text: _loaded_value(judged, "cashier_id", text, "cashier_id")
+    assert [cashier(t) for t in (None, "  ", " C1 ")] == [None, None, "C1"]
+
+
+def reasons(spark, dims, scratch, *changes, known=(), options=Options(), **limits):
+    rows = staged(spark, scratch, *changes)
+    checked = validate.run(rows, ids(spark, *known), dims, scratch, options, **limits)
+    return [(r.rejection_reason or "PASS").split(":")[0] for r in checked.orderBy("stg_id").collect()]
+
+
+def test_missing_ids_of_one_store_and_time_are_copies(spark, dims, scratch):
+    assert reasons(spark, dims, scratch, {"transaction_id": None}, {"transaction_id": None}) == ["V01", "DUPLICATE"]
+
+
+def test_invalid_first_copy_shadows_the_valid_one(spark, dims, scratch):
+    copies = ({"transaction_id": "A", "unit_price": "bad"}, {"transaction_id": "A"})
+    assert reasons(spark, dims, scratch, *copies) == ["V05", "DUPLICATE"]
+    assert reasons(spark, dims, scratch, *copies, options=Options(dedupe="after_rules")) == ["V05", "PASS"]
+
+
+def test_loaded_id_is_a_duplicate_whatever_its_store_and_date(spark, dims, scratch):
+    again = {"transaction_id": "OLD", "store_id": "S02", "transaction_date": "2025-02-01"}
+    assert reasons(spark, dims, scratch, again, {}, known=["OLD"]) == ["DUPLICATE", "PASS"]
+
+
+def test_null_keys_can_be_rejected(spark, dims, scratch):
+    changes = ({"store_id": None}, {"product_sku": None}, {"payment_method": None})
+    assert reasons(spark, dims, scratch, *changes, options=Options(null_fk="reject")) == ["V02", "V04", "V07"]
+
+
+def test_collation_option_ignores_case_and_trailing_space(spark, dims, scratch):
+    loose = Options(collation="UTF8_LCASE_RTRIM")
+    assert reasons(spark, dims, scratch, {"store_id": "s01 "}, {"payment_method": "CARD"}, options=loose) == ["PASS", "PASS"]
+
+
+def test_separator_in_an_id_does_not_confuse_loaded_ids(spark, dims, scratch):
+    """'A|S01' + 'x' and 'A' + 'S01|x' hash alike, but only one of the ids is in the fact."""
+    same_hash = (
+        {"transaction_id": "A|S01", "store_id": "x", "transaction_date": "2025-01-05"},
+        {"transaction_id": "A", "store_id": "S01|x", "transaction_date": "2025-01-05"},
+    )
+    assert reasons(spark, dims, scratch, *same_hash, known=["A|S01"]) == ["DUPLICATE", "DUPLICATE"]
+    assert reasons(spark, dims, scratch, *same_hash, known=["A"]) == ["V02", "DUPLICATE"]
+
+
+@pytest.mark.parametrize("limits", [{"max_rows": 0}, {"max_rows": 0, "hot_rows": 2, "hot_keys": 1}])
+def test_large_batches_judge_like_small_ones(spark, dims, scratch, limits):
+    """A third of the rows are copies of one row and another third carry one loaded id."""
+    changes = [{"transaction_id": "HOT"}] * 40 + [{"transaction_id": "OLD", "transaction_date": f"2025-01-{d % 28 + 1:02d}"} for d in range(40)]
+    changes += [{"transaction_id": f"N{i // 2}"} for i in range(40)]
+    want = reasons(spark, dims, scratch, *changes, known=["OLD"])
+    assert reasons(spark, dims, scratch, *changes, known=["OLD"], **limits) == want
+    assert want.count("PASS") == 21 and want.count("DUPLICATE") == 99
+
+
+GATES = [
+    ({"transaction_id": "A"}, {"transaction_id": "A", "transaction_date": "2025-01-06"}),
+    ({"transaction_date": "1999-01-01 00:00:00"},),
+    ({"discount_applied": "abc"},),
+    ({"discount_applied": None},),
+]
+
+
+@pytest.mark.parametrize("changes", GATES)
+def test_gate_stops_the_load(spark, dims, scratch, changes):
+    rows = staged(spark, scratch, *changes)
+    checked = scratch.table(validate.run(rows, ids(spark), dims, scratch), "checked")
+    assert checked.where("validation_status = 'PASS'").count() == len(changes)
+    with pytest.raises(gates.GateViolation):
+        load.run(checked, ids(spark), dims, scratch)
+
+
+@pytest.mark.parametrize("limits", [{}, {"max_rows": 0, "hot_rows": 2}])
+def test_gates_can_hold_rows_back(spark, dims, scratch, limits):
+    changes = [change for group in GATES for change in group] + [{"transaction_id": "GOOD"}]
+    rows = staged(spark, scratch, *changes)
+    checked = scratch.table(validate.run(rows, ids(spark), dims, scratch), "checked")
+    good, held = load.run(checked, ids(spark), dims, scratch, "quarantine", **limits)
+    assert sorted(r.stg_id for r in good.collect()) == [1, 6]
+    assert sorted(r.stg_id for r in held.collect()) == [2, 3, 4, 5]
+
+
+def test_first_good_row_of_a_repeated_id_stays(spark, dims, scratch):
+    """A row another gate holds back does not use up its id."""
+    rows = staged(
+        spark,
+        scratch,
+        {"transaction_id": "A", "transaction_date": "1999-01-01"},
+        {"transaction_id": "A"},
+        {"transaction_id": "A", "transaction_date": "2025-01-07"},
+    )
+    checked = scratch.table(validate.run(rows, ids(spark), dims, scratch), "checked")
+    good, _ = load.run(checked, ids(spark), dims, scratch, "quarantine")
+    assert [r.stg_id for r in good.collect()] == [2]
+
+
+def test_merge_skips_ids_loaded_since_validation(spark, dims, scratch):
+    rows = staged(spark, scratch, {}, {})
+    checked = scratch.table(validate.run(rows, ids(spark), dims, scratch), "checked")
+    loaded, _ = load.run(checked, ids(spark, "T1"), dims, scratch)
+    assert [r.transaction_id for r in loaded.collect()] == ["T2"]
+
+
+def test_rows_of_one_store_do_not_affect_another(spark, dims, scratch):
+    good = [{"transaction_id": f"A{i}"} for i in range(3)]
+    bad = [{"transaction_id": f"B{i}", "store_id": "S02", "unit_price": "x"} for i in range(3)]
+    alone = reasons(spark, dims, scratch, *good)
+    assert reasons(spark, dims, scratch, *good, *bad)[:3] == alone == ["PASS"] * 3
+
+
+def test_staged_splits_into_passed_and_rejected(spark, dims, scratch):
+    rows = staged(spark, scratch, *[change for change, _, _ in CASES])
+    summary = {r.validation_status: r.row_count for r in validate.summary(validate.run(rows, ids(spark), dims, scratch)).collect()}
+    assert sum(summary.values()) == len(CASES)
+    checked = scratch.table(validate.run(rows, ids(spark), dims, scratch), "checked")
+    loaded, _ = load.run(checked, ids(spark), dims, scratch)
+    line = load.metrics(checked, loaded).first()
+    assert line.rows_passed == summary["PASS"]
+    assert line.rows_unresolved == 3 and line.rows_already_present == 0
+
+
+def test_validation_reads_without_shuffling_wide_rows(spark, dims, scratch):
+    """A batch whose duplicates are few keeps its rows where they were read."""
+    rows = staged(spark, scratch, {}, {}, {"transaction_id": "T1"})
+    plan = validate.run(rows, ids(spark, "T1"), dims, scratch)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+    assert plan.count("BroadcastHashJoin") == 5
