@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from salesmart.functions import calendar
 from salesmart.operators import dims as dim_ops, load, staging, validate
 from salesmart.operators.dims import Dims
-from salesmart.operators.ids import assign_ids, number_positions
+from salesmart.operators.ids import assign_ids
 from salesmart.sources.landing import file_name
 from salesmart.storage import Scratch
 
@@ -189,6 +189,6 @@ def validated(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build(scratch: Scratch) -> DataFrame:
         rows, _ = load.run(validated(spark, sf_dir), loaded_before(spark, sf_dir), dims(spark, sf_dir), scratch)
-        return load.to_fact(number_positions(rows, "sales_key"), load_time())
+        return load.to_fact(rows, loaded_at=load_time())
 
     return _once(spark, sf_dir, "fact", build)

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from salesmart import schema
 from salesmart.operators.ids import assign_dim_keys
-from salesmart.operators.lookups import BROADCAST_ROWS, is_small
 from salesmart.storage import Scratch
 
 NATURAL_KEYS = {
@@ -21,26 +20,18 @@ NATURAL_KEYS = {
 
 @dataclass(frozen=True)
 class Dims:
-    """The four dimensions; they should be written tables, so that counting them is cheap."""
+    """The four dimensions, as written tables: Spark then knows their size and broadcasts those below
+    ``spark.sql.autoBroadcastJoinThreshold``; a larger one gets a shuffle join whose hot keys adaptive
+    execution splits."""
 
     store: DataFrame
     product: DataFrame
     payment: DataFrame
     date: DataFrame
-    max_rows: int = BROADCAST_ROWS
-    _small: dict[str, bool] = field(default_factory=dict, compare=False, repr=False)
 
     def items(self) -> list[tuple[str, DataFrame]]:
         return [(name, getattr(self, name)) for name in NATURAL_KEYS]
 
-    def pick(self, part: str, *columns: str | Column) -> DataFrame:
-        """Columns of one dimension to join with: broadcast when its row count is within ``max_rows``,
-        otherwise left to a shuffle join, where adaptive execution splits hot keys."""
-        if part not in self._small:
-            self._small[part] = is_small(getattr(self, part), self.max_rows)
-        picked = getattr(self, part).select(*columns)
-        return F.broadcast(picked) if self._small[part] else picked
-
 
 class DimensionContractError(ValueError):
     """A dimension has NULL or repeated keys."""
@@ -126,7 +117,7 @@ def lookup(rows: DataFrame, dims: Dims, collation: str | None = None) -> DataFra
     out = rows
     for part in ("store", "product", "payment"):
         key, natural = NATURAL_KEYS[part]
-        keys = dims.pick(part, F.col(natural).alias("_natural"), key)
+        keys = getattr(dims, part).select(F.col(natural).alias("_natural"), key)
         here, there = F.col(natural), F.col("_natural")
         if collation:
             here, there = F.collate(here, collation), F.collate(there, collation)

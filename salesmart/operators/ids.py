@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from salesmart.operators.lookups import is_small
 from salesmart.storage import Scratch
 
 # monotonically_increasing_id() keeps the partition number above these bits and the row number below.
@@ -44,6 +45,23 @@ def number_positions(placed: DataFrame, id_name: str, start: int = 1) -> DataFra
     )
 
 
+def number_lines(rows: DataFrame, id_name: str, start: int = 1, max_splits: int = 1_000_000) -> DataFrame:
+    """Gap-free ids in file and line order for rows read from files and written once.
+
+    ``file_row`` counts up by one along a split (a file, or one block of it), so only the first value
+    and the size of each split are needed: the rows are neither sorted nor shuffled.
+    """
+    split = ["source_file", "file_block"]
+    sizes = rows.groupBy(*split).agg(F.min("file_row").alias("_first"), F.count("*").alias("_rows"))
+    # One row per split.
+    before = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*split, "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    if is_small(sizes, max_splits):
+        offsets = F.broadcast(offsets)
+    number = F.lit(start).cast("long") + F.col("_offset") + F.col("file_row") - F.col("_first")
+    return rows.join(offsets, split).withColumn(id_name, number).drop("_first", "_offset", "file_block", "file_row")
+
+
 def assign_dim_keys(
     df: DataFrame, key: str, natural: str, scratch: Scratch, existing: DataFrame | None = None
 ) -> DataFrame:

@@ -67,15 +67,13 @@ def run(
     on_violation: str = "fail",
     **limits: int,
 ) -> tuple[DataFrame, DataFrame | None]:
-    """Gated rows as a written table (with their ``_position``) and, when quarantining, the rows held back."""
+    """Gated rows and, when quarantining, the rows held back. ``validated`` should be a written table:
+    the rows are worked out from it again when they are appended, which costs less than writing them twice."""
     pending = new_rows(validated, fact_ids, dims, scratch, **limits)
-    pending = scratch.table(pending.withColumn("_position", F.monotonically_increasing_id()), "pending")
     if on_violation == "fail":
         gates.enforce(pending, dims)
         return pending, None
-    good, held = gates.quarantine(pending, dims, scratch, **limits)
-    good = scratch.table(good.withColumn("_position", F.monotonically_increasing_id()), "gated-good")
-    return good, held.drop("_position")
+    return gates.quarantine(pending, dims, scratch, **limits)
 
 
 def metrics(validated: DataFrame, loaded: DataFrame) -> DataFrame:
@@ -95,8 +93,9 @@ def metrics(validated: DataFrame, loaded: DataFrame) -> DataFrame:
     )
 
 
-def to_fact(rows: DataFrame, loaded_at: Column | None = None) -> DataFrame:
-    """Fact column order and types; ``rows`` carry sales_key."""
+def to_fact(rows: DataFrame, first_key: int = 1, loaded_at: Column | None = None) -> DataFrame:
+    """Fact column order and types. Keys follow stg_id, with gaps where rows were rejected, so that
+    numbering takes no pass over the data."""
     moment = loaded_at if loaded_at is not None else F.current_timestamp().cast("timestamp_ntz")
-    stamped = rows.withColumn("loaded_at", moment)
+    stamped = rows.withColumns({"sales_key": F.col("stg_id") + F.lit(first_key - 1), "loaded_at": moment})
     return stamped.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.FACT])

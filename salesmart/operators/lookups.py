@@ -24,20 +24,25 @@ def attach(
     row_id: str,
     scratch: Scratch,
     *,
+    left_rows: int | None = None,
     max_rows: int = BROADCAST_ROWS,
     hot_keys: int = HOT_KEYS,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Left join with at most one ``right`` row per key, safe when one key holds much of ``left``.
 
-    ``right`` carries ``weight``, the number of left rows of its key. It is written once and counted.
-    Up to ``max_rows`` it is broadcast and ``left`` is not shuffled at all. Beyond that, the heaviest
-    keys (a fixed number) are broadcast, and their left rows get a key of their own in the shuffle
-    join of the rest, so they spread over all tasks; no right row is left out.
+    ``right`` carries ``weight``, the number of left rows of its key, so it has no more rows than
+    ``left``. When ``left_rows``, or else a count of ``right`` once written, is within ``max_rows``,
+    ``right`` is broadcast and ``left`` is not shuffled at all. Beyond that, the heaviest keys (a fixed
+    number) are broadcast, and their left rows get a key of their own in the shuffle join of the rest,
+    so they spread over all tasks; no right row is left out.
     """
-    right = scratch.table(right, f"by-{key}")
     payload = [name for name in right.columns if name not in (key, weight)]
-    if is_small(right, max_rows):
+    small = left_rows is not None and left_rows <= max_rows
+    if not small:
+        right = scratch.table(right, f"by-{key}")
+        small = is_small(right, max_rows)
+    if small:
         return left.join(F.broadcast(right.drop(weight)), key, "left")
 
     hot = (

@@ -34,14 +34,19 @@ def check_lengths(df: DataFrame, on_violation: str = "fail") -> tuple[DataFrame,
     fits = marked.where(F.col("rejection_reason").isNull()).drop("rejection_reason")
     overlong = marked.where(F.col("rejection_reason").isNotNull())
     if on_violation == "fail":
-        by_file = overlong.groupBy("source_file", "rejection_reason").count().limit(20).collect()
-        if by_file:
-            raise OverlongValueError("; ".join(f"{r.source_file}: {r.rejection_reason} ({r['count']} rows)" for r in by_file))
+        example = F.min(F.struct("source_file", "rejection_reason")).alias("example")
+        bad = overlong.agg(F.count("*").alias("bad"), example).first()
+        if bad.bad:
+            raise OverlongValueError(f"{bad.bad} rows, such as {bad.example.source_file}: {bad.example.rejection_reason}")
     return fits, overlong
 
 
 def stage(df: DataFrame, load_ts: Column | None = None) -> DataFrame:
-    """Normalised rows with provenance, row hash and PENDING status; expects stg_id and source_file."""
+    """Normalised rows with provenance, row hash and PENDING status.
+
+    Expects source_file, and stg_id or (for rows just read) file_block and file_row.
+    """
+    target = schema.STAGING if "stg_id" in df.columns else schema.LANDED
     moment = load_ts if load_ts is not None else F.current_timestamp().cast("timestamp_ntz")
     return (
         normalize_empty(df)
@@ -53,7 +58,7 @@ def stage(df: DataFrame, load_ts: Column | None = None) -> DataFrame:
                 "rejection_reason": F.lit(None).cast("string"),
             }
         )
-        .select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.STAGING])
+        .select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target])
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from salesmart.functions.casts import is_blank, to_decimal, to_smallint, to_ts
 from salesmart.operators.dims import Dims, lookup
-from salesmart.operators.lookups import BROADCAST_ROWS, attach, is_small
+from salesmart.operators.lookups import BROADCAST_ROWS, attach
 from salesmart.schema import DUPLICATE, FAIL, PASS, REASONS
 from salesmart.storage import Scratch
 
@@ -50,7 +50,7 @@ def rules(options: Options = Options()) -> Column:
     )
 
 
-def loaded_ids(rows: DataFrame, fact_ids: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def loaded_ids(rows: DataFrame, fact_ids: DataFrame, row_count: int, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Transaction ids of ``rows`` that the fact already holds, with how many rows carry each.
 
     Only ids travel, and the batch is counted per id first. A batch of at most ``max_rows`` rows is
@@ -58,7 +58,7 @@ def loaded_ids(rows: DataFrame, fact_ids: DataFrame, max_rows: int = BROADCAST_R
     shuffle-joined.
     """
     batch = rows.where("transaction_id is not null").groupBy("transaction_id").agg(F.count("*").alias("_rows"))
-    if is_small(rows, max_rows):
+    if row_count <= max_rows:
         matches = fact_ids.select("transaction_id").join(F.broadcast(batch), "transaction_id")
         return matches.dropDuplicates(["transaction_id"])
     return batch.join(fact_ids.select("transaction_id"), "transaction_id", "left_semi")
@@ -69,20 +69,24 @@ def mark_loaded(
     fact_ids: DataFrame,
     scratch: Scratch,
     source: DataFrame | None = None,
+    row_count: int | None = None,
     max_rows: int = BROADCAST_ROWS,
     **limits: int,
 ) -> DataFrame:
     """Add ``is_loaded``: the transaction id is in the fact.
 
-    ``source`` is the written table the ids of ``rows`` come from, when ``rows`` itself is a longer plan.
+    ``source`` is the table the ids of ``rows`` come from, when ``rows`` itself is a longer plan.
     """
-    found = loaded_ids(rows if source is None else source, fact_ids, max_rows).withColumn("_found", F.lit(True))
-    marked = attach(rows, found, "transaction_id", "_rows", "stg_id", scratch, max_rows=max_rows, **limits)
+    source = rows if source is None else source
+    row_count = source.count() if row_count is None else row_count
+    found = loaded_ids(source, fact_ids, row_count, max_rows).withColumn("_found", F.lit(True))
+    limits |= {"left_rows": row_count, "max_rows": max_rows}
+    marked = attach(rows, found, "transaction_id", "_rows", "stg_id", scratch, **limits)
     return marked.withColumn("is_loaded", F.coalesce("_found", F.lit(False))).drop("_found")
 
 
 def mark_batch_dups(
-    rows: DataFrame, scratch: Scratch, eligible: Column | None = None, **limits: int
+    rows: DataFrame, scratch: Scratch, eligible: Column | None = None, row_count: int | None = None, **limits: int
 ) -> DataFrame:
     """Add ``is_batch_dup``: another row of the batch has the same hash and a lower stg_id.
 
@@ -94,7 +98,8 @@ def mark_batch_dups(
         .agg(F.min("stg_id").alias("_keep"), F.count("*").alias("_copies"))
         .where("_copies > 1")
     )
-    marked = attach(rows, groups, "row_hash", "_copies", "stg_id", scratch, **limits)
+    row_count = rows.count() if row_count is None else row_count
+    marked = attach(rows, groups, "row_hash", "_copies", "stg_id", scratch, left_rows=row_count, **limits)
     return marked.withColumn("is_batch_dup", F.coalesce(F.col("stg_id") > F.col("_keep"), F.lit(False))).drop("_keep")
 
 
@@ -107,6 +112,7 @@ def run(
     **limits: int,
 ) -> DataFrame:
     """Staged rows with status, reason and resolved keys. ``staged`` should be a written table."""
+    limits.setdefault("row_count", staged.count())
     after_rules = options.dedupe == "after_rules"
     rows = staged.drop("validation_status", "rejection_reason")
     if after_rules:

@@ -12,7 +12,7 @@ from salesmart.functions.casts import date_key, to_decimal, to_smallint, to_ts
 from salesmart.functions.hashing import row_hash
 from salesmart.functions.measures import with_measures
 from salesmart.operators import dims as dim_ops, gates, load, staging, validate
-from salesmart.operators.ids import assign_ids, number_positions
+from salesmart.operators.ids import assign_ids
 from salesmart.plans import marts, quality, runlog
 from salesmart.plans.daily import Settings
 from salesmart.schema import POS_COLUMNS, RUN_ENDED, RUN_STARTED
@@ -162,7 +162,7 @@ def expected_files(spark, sf):
 
 @query
 def missing_files(spark, sf):
-    return quality.missing_history(runlog.log_missing(_missing(spark, sf), 1, fx.load_time(), Scratch(spark, "missing")))
+    return quality.missing_history(runlog.log_missing(_missing(spark, sf), 1, fx.load_time(), scratch=Scratch(spark, "missing")))
 
 
 # dimensions
@@ -236,8 +236,7 @@ def _load(spark, sf):
 
 @query
 def fact_load(spark, sf):
-    fact = load.to_fact(number_positions(_load(spark, sf), "sales_key"), fx.load_time())
-    return fact.select(*FACT_COLUMNS)
+    return load.to_fact(_load(spark, sf), loaded_at=fx.load_time()).select(*FACT_COLUMNS)
 
 
 @query
@@ -250,6 +249,7 @@ def fact_load_idempotent(spark, sf):
     for attempt in ("first", "second"):
         checked = scratch.table(validate.run(staged, known, dims, scratch), "validated")
         loaded, _ = load.run(checked, known, dims, scratch)
+        loaded = scratch.table(loaded, "loaded")
         rejected = checked.agg(F.count_if(F.col("validation_status") == schema.FAIL).alias("rows_rejected"))
         lines = rejected.unionByName(loaded.agg(F.count("*").alias("rows_loaded")), allowMissingColumns=True)
         lines = lines.withColumn("attempt", F.lit(attempt))

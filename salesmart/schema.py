@@ -63,6 +63,13 @@ STAGING = _struct(
     ("rejection_reason", T.StringType()),
 )
 
+# Staged rows as landed: numbered by file, block and line instead of by stg_id.
+LANDED = _struct(
+    *[(f.name, f.dataType) for f in STAGING if f.name != "stg_id"],
+    ("file_block", T.LongType()),
+    ("file_row", T.LongType()),
+)
+
 FACT = _struct(
     ("sales_key", T.LongType()),
     ("date_key", T.IntegerType()),
@@ -106,6 +113,22 @@ DIM_PAYMENT = _struct(
     ("payment_method", T.StringType()),
 )
 
+DIM_DATE = _struct(
+    ("date_key", T.IntegerType()),
+    ("full_date", T.DateType()),
+    ("day_of_week", T.ShortType()),
+    ("day_name", T.StringType()),
+    ("day_of_month", T.ShortType()),
+    ("day_of_year", T.ShortType()),
+    ("week_of_year", T.ShortType()),
+    ("month_number", T.ShortType()),
+    ("month_name", T.StringType()),
+    ("quarter_number", T.ShortType()),
+    ("year_number", T.ShortType()),
+    ("is_weekend", T.BooleanType()),
+    ("is_public_holiday", T.BooleanType()),
+)
+
 RUN_COUNTS = [
     "files_processed",
     "rows_staged",

@@ -10,6 +10,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # spares a stack walk per column expression
+    "spark.sql.dataFrameQueryContext.enabled": "false",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

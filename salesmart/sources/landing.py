@@ -99,7 +99,7 @@ def read_pos_csv(
 ) -> DataFrame:
     """Rows of the files with the eleven columns taken by header name, whatever their order.
 
-    Columns a file lacks are NULL and extra ones are ignored. ``_row`` orders the lines of a file.
+    Columns a file lacks are NULL and extra ones are ignored. ``file_block`` and ``file_row`` order the lines of a file.
     ``multi_line=False`` lets Spark split big files between tasks; use it where no field holds a line break.
     """
     files = spark.createDataFrame([(p, encoding) for p in paths], "path string, encoding string")
@@ -119,8 +119,8 @@ def read_pos_csv(
             rows.select(
                 *columns,
                 F.col("_metadata.file_name").alias("source_file"),
-                F.col("_metadata.file_block_start").alias("_block"),
-                F.monotonically_increasing_id().alias("_row"),
+                F.col("_metadata.file_block_start").alias("file_block"),
+                F.monotonically_increasing_id().alias("file_row"),
             )
         )
     out = parts[0]

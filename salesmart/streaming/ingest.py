@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from salesmart import schema
 from salesmart.operators import staging
-from salesmart.operators.ids import assign_ids
+from salesmart.operators.ids import number_lines
 from salesmart.plans.daily import Settings, validate_and_load
 from salesmart.sources.warehouse import Warehouse
 from salesmart.storage import Scratch
@@ -37,15 +37,14 @@ def stream_pos_csv(
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.csv(root).select(
-        "*", F.col("_metadata.file_name").alias("source_file"), F.col("_metadata.file_block_start").alias("_block")
+        "*", F.col("_metadata.file_name").alias("source_file"), F.col("_metadata.file_block_start").alias("file_block")
     )
 
 
 def stage_batch(rows: DataFrame, scratch: Scratch) -> DataFrame:
     """Number the rows of one micro-batch by file and line and stage them."""
-    placed = rows.withColumn("_row", F.monotonically_increasing_id())
-    numbered = assign_ids(placed, "stg_id", scratch, ["source_file", "_block", "_row"])
-    return staging.stage(numbered.drop("_block", "_row"))
+    placed = rows.withColumn("file_row", F.monotonically_increasing_id())
+    return number_lines(scratch.table(staging.stage(placed), "landed"), "stg_id")
 
 
 def start_load(
@@ -64,7 +63,7 @@ def start_load(
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         scratch = Scratch(warehouse.spark, f"batch-{batch_id}")
-        table = scratch.table(batch if staged else stage_batch(batch, scratch), "staged")
+        table = scratch.table(batch, "staged") if staged else stage_batch(batch, scratch)
         validate_and_load(warehouse, table, batch_id + 1, scratch, settings)
         scratch.drop()
 

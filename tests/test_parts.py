@@ -129,10 +129,15 @@ def test_dimension_contract(spark, dims):
 
 def test_lookup_gives_the_same_keys_when_a_dimension_is_too_big_to_broadcast(spark, dims, scratch):
     rows = staged(spark, scratch, {}, {"store_id": None}, {"product_sku": "X"}, {"payment_method": "Cash"})
-    big = Dims(dims.store, dims.product, dims.payment, dims.date, max_rows=1)
     keys = ["stg_id", "store_key", "product_key", "payment_key"]
     want = sorted(map(tuple, dim_ops.lookup(rows, dims).select(*keys).collect()), key=str)
-    assert sorted(map(tuple, dim_ops.lookup(rows, big).select(*keys).collect()), key=str) == want
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        assert sorted(map(tuple, dim_ops.lookup(rows, dims).select(*keys).collect()), key=str) == want
+    finally:
+        spark.conf.set(threshold, before)
 
 
 def make_fact(spark, scratch, rows):
