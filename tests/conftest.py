@@ -21,7 +21,7 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     shared = str(tmp_path_factory.mktemp("shared"))
-    extra = {"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "6g", "spark.checkpoint.dir": shared}
+    extra = {"spark.sql.shuffle.partitions": "2", "spark.default.parallelism": "2", "spark.driver.memory": "6g", "spark.checkpoint.dir": shared}
     session = local_session(4, "tests", **extra)
     session.sparkContext.setLogLevel("ERROR")
     yield session
