@@ -469,7 +469,7 @@ def sla_report(spark, sf):
 
 @query
 def stream_load(spark, sf):
-    """The staged rows as a file stream, loaded in three micro-batches into an empty warehouse."""
+    """The staged rows as a file stream, loaded in two micro-batches into an empty warehouse."""
     source = fx.staged(spark, sf)
     place = Scratch(spark, "stream")
     warehouse = Warehouse(spark, f"{place.path}/warehouse").create()
@@ -479,7 +479,7 @@ def stream_load(spark, sf):
     seeded = earlier.withColumns(blank).withColumn("sale_month", F.lit(0)).select(*[f.name for f in schema.FACT], "sale_month")
     seeded.write.mode("overwrite").partitionBy("sale_month").parquet(f"{warehouse.path('fact_sales')}/load_id=0")
     folder = fx.staged_path(spark, sf)
-    per_batch = -(-len(source.inputFiles()) // 3)
+    per_batch = -(-len(source.inputFiles()) // 2)
     rows = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", per_batch).parquet(folder)
     ingest.start_load(rows, warehouse, f"{place.path}/checkpoint", Settings(raw=""), staged=True).awaitTermination()
     return warehouse.fact().where("load_id > 0").select(*FACT_COLUMNS)

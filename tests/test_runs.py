@@ -151,6 +151,19 @@ def test_daily_run_end_to_end(spark, warehouse, tmp_path):
     assert daily.clear(warehouse, dt.datetime(2040, 1, 1)).count() == 0
 
 
+def test_look_back_reads_only_recent_months(spark, warehouse, tmp_path):
+    raw, march = tmp_path / "raw", dt.date(2025, 3, 1)
+    assert [daily.since_month(march, n) for n in (None, 0, 1, 3)] == [None, 202503, 202502, 202412]
+    write(raw, "S01", [sale("S01", 1)])
+    write(raw, "S01", [sale("S01", 1, march), sale("S01", 2, march, transaction_id="S01-20250105-00001")], march)
+    daily.run_day(warehouse, daily.Settings(f"file:{raw}"), DAY)
+    done = daily.run_day(warehouse, daily.Settings(f"file:{raw}", lookback_months=2), march)
+    assert (done["rows_loaded"], done["rows_duplicates"]) == (1, 1)
+    plan = warehouse.fact_ids(9, 202502)._jdf.queryExecution().executedPlan().toString()
+    filters = next(line for line in plan.splitlines() if "FileScan" in line).split("PartitionFilters: ")[1]
+    assert "sale_month" in filters and "load_id" in filters
+
+
 def test_redoing_a_run_replaces_its_slices(spark, warehouse, tmp_path):
     raw = tmp_path / "raw"
     write_day(raw)
