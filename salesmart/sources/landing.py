@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-import csv
 import datetime as dt
 from collections.abc import Iterator
+from typing import TYPE_CHECKING
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from salesmart.schema import POS_COLUMNS
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 # Fixed pattern: <store_id>_sales_<yyyy-mm-dd>.csv
 FILE_NAME = r"^(.+?)_sales_(\d{4}-\d{2}-\d{2})\.csv$"
 HEADER_BYTES = 1 << 16
@@ -61,23 +63,27 @@ def list_arrivals(spark: SparkSession, root: str, date: str | dt.date) -> DataFr
     return files.select("path", name.alias("source_file"), store.alias("store_id"), day.alias("business_date"), "length", "modificationTime")
 
 
-def _read_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
+def read_headers(files: DataFrame) -> DataFrame:
+    """First line of each file, read where the task runs; ``files`` has path and encoding."""
+    limit = HEADER_BYTES
+
+    # a nested function travels with the task, so executors need not have this package installed
+    def first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import csv
 
-    for batch in batches:
-        headers = []
-        for path, encoding in zip(batch["path"], batch["encoding"]):
-            system, name = fs.FileSystem.from_uri(path)
-            with system.open_input_stream(name) as stream:
-                text = stream.read(HEADER_BYTES).decode(encoding, errors="ignore").lstrip("﻿")
-            rows = csv.reader(text.splitlines())
-            headers.append(next((row for row in rows if row), []))
-        yield pd.DataFrame({"path": batch["path"], "header": headers})
+        import pandas as pd
+        from pyarrow import fs
 
+        for batch in batches:
+            headers = []
+            for path, encoding in zip(batch["path"], batch["encoding"]):
+                system, name = fs.FileSystem.from_uri(path)
+                with system.open_input_stream(name) as stream:
+                    text = stream.read(limit).decode(encoding, errors="ignore").lstrip("\ufeff")
+                headers.append(next((row for row in csv.reader(text.splitlines()) if row), []))
+            yield pd.DataFrame({"path": batch["path"], "header": headers})
 
-def read_headers(files: DataFrame) -> DataFrame:
-    """First line of each file, read where the task runs; ``files`` has path and encoding."""
-    return files.select("path", "encoding").repartition("path").mapInPandas(_read_headers, "path string, header array<string>")
+    return files.select("path", "encoding").repartition("path").mapInPandas(first_lines, "path string, header array<string>")
 
 
 def _positional(spark: SparkSession, paths: list[str], encoding: str, multi_line: bool) -> DataFrame:
