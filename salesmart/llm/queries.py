@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from salesmart.llm import mixing, sharding
+from salesmart.llm import mixing, quality, sharding
 from salesmart.storage import Scratch
 
 
@@ -14,10 +14,14 @@ def op1_mixing(spark, sf_dir):
     return mixing.mix(_table(spark, sf_dir, "documents"), Scratch(spark, "op1"))
 
 
+def op9_quality(spark, sf_dir):
+    return quality.assess(_table(spark, sf_dir, "documents"), Scratch(spark, "op9"))
+
+
 def op10_sharding(spark, sf_dir):
     return sharding.place(_table(spark, sf_dir, "documents"), Scratch(spark, "op10"))
 
 
-QUERIES = {query.__name__: query for query in (op1_mixing, op10_sharding)}
+QUERIES = {query.__name__: query for query in (op1_mixing, op9_quality, op10_sharding)}
 
 SQL = {"op1_mixing": mixing.SQL}
