@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from salesmart.llm import mixing, quality, sharding
+from salesmart.llm import chat, mixing, packing, quality, sharding
 from salesmart.storage import Scratch
 
 
@@ -14,6 +14,23 @@ def op1_mixing(spark, sf_dir):
     return mixing.mix(_table(spark, sf_dir, "documents"), Scratch(spark, "op1"))
 
 
+def tokenizer_json(name="word_bpe_49k.json"):
+    """A public tokenizer's file, read on the driver; tasks get its text."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), encoding="utf-8") as file:
+        return file.read()
+
+
+def op6_packing(spark, sf_dir):
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_json(), Scratch(spark, "op6"))
+
+
+def op7_chat(spark, sf_dir):
+    turns = chat.canonical_turns(_table(spark, sf_dir, "conversations"))
+    return chat.read_back(chat.format_turns(turns.unionByName(chat.control_conversation(spark))))
+
+
 def op9_quality(spark, sf_dir):
     return quality.assess(_table(spark, sf_dir, "documents"), Scratch(spark, "op9"))
 
@@ -22,6 +39,6 @@ def op10_sharding(spark, sf_dir):
     return sharding.place(_table(spark, sf_dir, "documents"), Scratch(spark, "op10"))
 
 
-QUERIES = {query.__name__: query for query in (op1_mixing, op9_quality, op10_sharding)}
+QUERIES = {query.__name__: query for query in (op1_mixing, op6_packing, op7_chat, op9_quality, op10_sharding)}
 
 SQL = {"op1_mixing": mixing.SQL}
