@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from salesmart.llm import chat, mixing, packing, quality, sharding
+from pyspark.sql import functions as F
+
+from salesmart.llm import chat, ctw, mixing, packing, quality, sharding
 from salesmart.storage import Scratch
 
 
@@ -22,6 +24,11 @@ def tokenizer_json(name="word_bpe_49k.json"):
         return file.read()
 
 
+def op5_context_tree(spark, sf_dir):
+    training = ~ctw.held_out(F.col("doc_id"))
+    return ctw.scored(_table(spark, sf_dir, "documents"), Scratch(spark, "op5"), training)
+
+
 def op6_packing(spark, sf_dir):
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_json(), Scratch(spark, "op6"))
 
@@ -39,6 +46,6 @@ def op10_sharding(spark, sf_dir):
     return sharding.place(_table(spark, sf_dir, "documents"), Scratch(spark, "op10"))
 
 
-QUERIES = {query.__name__: query for query in (op1_mixing, op6_packing, op7_chat, op9_quality, op10_sharding)}
+QUERIES = {query.__name__: query for query in (op1_mixing, op5_context_tree, op6_packing, op7_chat, op9_quality, op10_sharding)}
 
 SQL = {"op1_mixing": mixing.SQL}
