@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from salesmart.llm import chat, ctw, mixing, packing, quality, sharding
+from salesmart.llm import chat, ctw, langid, mixing, packing, quality, sharding
 from salesmart.storage import Scratch
 
 
@@ -38,6 +38,10 @@ def op7_chat(spark, sf_dir):
     return chat.read_back(chat.format_turns(turns.unionByName(chat.control_conversation(spark))))
 
 
+def op8_language(spark, sf_dir):
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark, sf_dir):
     return quality.assess(_table(spark, sf_dir, "documents"), Scratch(spark, "op9"))
 
@@ -46,6 +50,6 @@ def op10_sharding(spark, sf_dir):
     return sharding.place(_table(spark, sf_dir, "documents"), Scratch(spark, "op10"))
 
 
-QUERIES = {query.__name__: query for query in (op1_mixing, op5_context_tree, op6_packing, op7_chat, op9_quality, op10_sharding)}
+QUERIES = {query.__name__: query for query in (op1_mixing, op5_context_tree, op6_packing, op7_chat, op8_language, op9_quality, op10_sharding)}
 
 SQL = {"op1_mixing": mixing.SQL}
