@@ -27,15 +27,16 @@ def chunks(batch: pa.RecordBatch, column: str, limit: int):
         begin = end
 
 
-def joined(texts: pa.Array, lead: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All texts in one lower-cased (A-Z) byte array, each between ``lead`` edge bytes and one more.
+def joined(texts: pa.Array, lead: int, fold: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All texts in one byte array (with ``fold``, A-Z lower-cased), each between ``lead`` edge bytes and one more.
 
     Returns the bytes, where each text begins, and where it ends (the place of its last edge byte).
     """
     values = [x or b"" for x in texts.cast(pa.binary()).to_pylist()]
     sizes = np.array([len(x) for x in values], np.int64)
     head, tail = bytes([EDGE]) * lead, bytes([EDGE])
-    buffer = LOWER[np.frombuffer(b"".join(piece for value in values for piece in (head, value, tail)), np.uint8)]
+    buffer = np.frombuffer(b"".join(piece for value in values for piece in (head, value, tail)), np.uint8)
+    buffer = LOWER[buffer] if fold else buffer
     starts = np.cumsum(sizes + lead + 1) - sizes - 1
     return buffer, starts, starts + sizes
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from salesmart.llm import chat, ctw, langid, mixing, packing, quality, sharding
+from salesmart.llm import chat, ctw, langid, mixing, near_dup, packing, quality, sharding
 from salesmart.storage import Scratch
 
 
@@ -24,6 +24,10 @@ def tokenizer_json(name="word_bpe_49k.json"):
         return file.read()
 
 
+def op2_near_duplicates(spark, sf_dir):
+    return near_dup.near_duplicates(_table(spark, sf_dir, "documents"), Scratch(spark, "op2"))
+
+
 def op5_context_tree(spark, sf_dir):
     training = ~ctw.held_out(F.col("doc_id"))
     return ctw.scored(_table(spark, sf_dir, "documents"), Scratch(spark, "op5"), training)
@@ -50,6 +54,6 @@ def op10_sharding(spark, sf_dir):
     return sharding.place(_table(spark, sf_dir, "documents"), Scratch(spark, "op10"))
 
 
-QUERIES = {query.__name__: query for query in (op1_mixing, op5_context_tree, op6_packing, op7_chat, op8_language, op9_quality, op10_sharding)}
+QUERIES = {query.__name__: query for query in (op1_mixing, op2_near_duplicates, op5_context_tree, op6_packing, op7_chat, op8_language, op9_quality, op10_sharding)}
 
 SQL = {"op1_mixing": mixing.SQL}
