@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from salesmart.llm import chat, ctw, fingerprints, langid, mixing, near_dup, packing, quality, sharding
+from salesmart.llm import chat, ctw, fingerprints, langid, mixing, near_dup, packing, quality, sharding, url_filter
 from salesmart.storage import Scratch
 
 
@@ -32,6 +32,10 @@ def op3_fingerprints(spark, sf_dir):
     return fingerprints.edited_fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op4_url_filter(spark, sf_dir):
+    return url_filter.judge(_table(spark, sf_dir, "pages"), Scratch(spark, "op4"))
+
+
 def op5_context_tree(spark, sf_dir):
     training = ~ctw.held_out(F.col("doc_id"))
     return ctw.scored(_table(spark, sf_dir, "documents"), Scratch(spark, "op5"), training)
@@ -58,6 +62,6 @@ def op10_sharding(spark, sf_dir):
     return sharding.place(_table(spark, sf_dir, "documents"), Scratch(spark, "op10"))
 
 
-QUERIES = {query.__name__: query for query in (op1_mixing, op2_near_duplicates, op3_fingerprints, op5_context_tree, op6_packing, op7_chat, op8_language, op9_quality, op10_sharding)}
+QUERIES = {query.__name__: query for query in (op1_mixing, op2_near_duplicates, op3_fingerprints, op4_url_filter, op5_context_tree, op6_packing, op7_chat, op8_language, op9_quality, op10_sharding)}
 
 SQL = {"op1_mixing": mixing.SQL}
