@@ -9,11 +9,12 @@ posterior probability of the shortest one (equal priors).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from salesmart.llm import kernels
 from salesmart.llm.tasks import ship, worker_cache
@@ -124,7 +125,7 @@ def predictor(spark, training: DataFrame, per_language: int = DOCUMENTS_PER_LANG
     """Fit on ``training`` (doc_id, lang, text) and return a function that adds lang_pred and score to texts."""
     model = fit(gram_counts(sample(training.select("doc_id", "lang", "text"), per_language)))
     shipped = spark.sparkContext.broadcast(model)
-    token = f"{id(shipped)}-{shipped.id if hasattr(shipped, 'id') else ''}-{shipped._path if hasattr(shipped, '_path') else ''}"
+    token = uuid.uuid4().hex
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = worker_cache("langid")
@@ -156,8 +157,9 @@ def predictor(spark, training: DataFrame, per_language: int = DOCUMENTS_PER_LANG
         text = F.coalesce(F.col("text").cast("string"), F.lit(""))
         carried = [name for name in rows.columns if name != "text"]
         asked = rows.select(*carried, folded(text).alias("_folded"), text.rlike(r"\p{L}").alias("_letters"))
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "text")
-        return asked.mapInArrow(predict, f"{schema}, lang_pred string, score double")
+        fields = [field for field in rows.schema.fields if field.name != "text"]
+        added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+        return asked.mapInArrow(predict, T.StructType([*fields, *added]))
 
     return predicted
 
@@ -175,3 +177,11 @@ def identify(documents: DataFrame, per_language: int = DOCUMENTS_PER_LANGUAGE) -
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     predicted = predictor(documents.sparkSession, rows.where(~held_out(F.col("doc_id"))), per_language)
     return predicted(rows.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out")))
+
+
+def kept_documents(documents: DataFrame, least_score: float = 0.5, per_language: int = DOCUMENTS_PER_LANGUAGE) -> DataFrame:
+    """The rows of ``documents`` whose language is told with at least ``least_score``, with all their columns."""
+    training = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    predicted = predictor(documents.sparkSession, training.where(~held_out(F.col("doc_id"))), per_language)
+    whole = F.struct(*[F.col(f"`{name}`") for name in documents.columns]).alias("_document")
+    return predicted(documents.select(whole, "text")).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select("_document.*")

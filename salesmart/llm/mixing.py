@@ -9,7 +9,7 @@ map-side first.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from salesmart.operators.lookups import is_small
 from salesmart.storage import Scratch
@@ -97,39 +97,59 @@ def thresholds(sized: DataFrame, plan: DataFrame, scratch: Scratch) -> DataFrame
     )
 
 
-def sized(documents: DataFrame) -> DataFrame:
-    """doc_id, source, size in words, and the hash: the first 60 bits of the MD5 of id and text."""
+def _hash() -> Column:
+    """The first 60 bits of the MD5 of id and text."""
     digest = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.coalesce("text", F.lit(""))))
-    return documents.select(
-        "doc_id", "source",
-        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("long").alias("hash"),
-    )
+    return F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("long")
+
+
+def _source_id() -> Column:
+    return F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit(""))
+
+
+def sized(documents: DataFrame) -> DataFrame:
+    """doc_id, source, size in words, and the hash."""
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    return documents.select("doc_id", "source", size.alias("size"), _hash().alias("hash"))
+
+
+def _fitted(slim: DataFrame, scratch: Scratch, weights, share: float, most: int) -> DataFrame:
+    """Targets and thresholds of every source of written, sized rows."""
+    sizes = scratch.table(slim.groupBy("source").agg(F.sum("size").alias("source_size")), "sizes")
+    plan = scratch.table(targets(sizes, weights, share, most).withColumn("source_id", _source_id()).drop("source"), "targets")
+    edge = thresholds(slim.withColumn("source_id", _source_id()), plan, scratch)
+    return F.broadcast(edge) if is_small(edge) else edge
+
+
+def _copies(most: int) -> Column:
+    copies = F.col("copies") + F.when(F.col("hash") <= F.col("_upto"), 1).otherwise(0)
+    return F.least(copies.cast("long"), F.lit(int(most)).cast("long"))
 
 
 def mix(documents: DataFrame, scratch: Scratch, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
-    """doc_id, size, source_size, target, taken (words) and copies for every row of ``documents``.
+    """doc_id, size, source_size, target, taken (words), copies and hash for every row of ``documents``.
 
     Reads doc_id, source and text only. A null text has size 0; a null source is a source of its own,
     the last one; rows that repeat id and text are taken together; an empty table gives no rows. A
     source without words has target 0.
     """
     slim = scratch.table(sized(documents), "sized")
-    sizes = scratch.table(slim.groupBy("source").agg(F.sum("size").alias("source_size")), "sizes")
-    plan = scratch.table(
-        targets(sizes, weights, share, most).withColumn("source_id", F.coalesce(F.concat(F.lit("s"), "source"), F.lit(""))).drop("source"),
-        "targets",
-    )
-    slim = slim.withColumn("source_id", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")))
-    edge = thresholds(slim, plan, scratch)
-    edge = F.broadcast(edge) if is_small(edge) else edge
-    copies = (F.col("copies") + F.when(F.col("hash") <= F.col("_upto"), 1).otherwise(0)).cast("long")
-    copies = F.least(copies, F.lit(int(most)).cast("long"))
-    return slim.join(edge, "source_id").select(
+    edge = _fitted(slim, scratch, weights, share, most)
+    copies = _copies(most)
+    return slim.withColumn("source_id", _source_id()).join(edge, "source_id").select(
         "doc_id", "size", "source_size", "target", (copies * F.col("size")).alias("taken"), copies.alias("copies"), "hash"
     )
 
 
+def mixed_documents(documents: DataFrame, scratch: Scratch, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
+    """The mix itself: rows of ``documents`` with all their columns, each as often as it is taken."""
+    edge = _fitted(scratch.table(sized(documents), "sized"), scratch, weights, share, most)
+    whole = F.struct(*[F.col(f"`{name}`") for name in documents.columns]).alias("_document")
+    rows = documents.select(whole, _source_id().alias("source_id"), _hash().alias("hash")).join(edge, "source_id")
+    rows = rows.select("_document", _copies(most).alias("_taken")).where("_taken > 0")
+    return rows.select("_document", F.explode(F.array_repeat(F.lit(1), F.col("_taken").cast("int")))).select("_document.*")
+
+
 SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
