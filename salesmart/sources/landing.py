@@ -3,22 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator
-from typing import TYPE_CHECKING
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from salesmart.schema import POS_COLUMNS
 
-if TYPE_CHECKING:
-    import pandas as pd
-
 # Fixed pattern: <store_id>_sales_<yyyy-mm-dd>.csv
 FILE_NAME = r"^(.+?)_sales_(\d{4}-\d{2}-\d{2})\.csv$"
-HEADER_BYTES = 1 << 16
-POSITIONS = 64
-# Files above this size are worth splitting between tasks.
-SPLIT_BYTES = 128 << 20
+# Headers are read by so many small Spark jobs at a time.
+HEADER_JOBS = 16
 
 
 class NoInputFiles(FileNotFoundError):
@@ -54,7 +48,6 @@ def list_arrivals(spark: SparkSession, root: str, date: str | dt.date) -> DataFr
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", f"*_sales_{date}.csv")
-        .option("recursiveFileLookup", "true")
         .load(f"{root.rstrip('/')}/{date}")
         .select("path", "length", "modificationTime")
     )
@@ -63,64 +56,35 @@ def list_arrivals(spark: SparkSession, root: str, date: str | dt.date) -> DataFr
     return files.select("path", name.alias("source_file"), store.alias("store_id"), day.alias("business_date"), "length", "modificationTime")
 
 
-def read_headers(files: DataFrame) -> DataFrame:
-    """First line of each file, read where the task runs; ``files`` has path and encoding."""
-    limit = HEADER_BYTES
-
-    # a nested function travels with the task, so executors need not have this package installed
-    def first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import csv
-
-        import pandas as pd
-        from pyarrow import fs
+def _reader(spark: SparkSession, encoding: str, line_breaks: bool):
+    return spark.read.option("multiLine", line_breaks).option("encoding", encoding).option("escape", '"').option("mode", "PERMISSIVE")
 
-        for batch in batches:
-            headers = []
-            for path, encoding in zip(batch["path"], batch["encoding"]):
-                system, name = fs.FileSystem.from_uri(path)
-                with system.open_input_stream(name) as stream:
-                    text = stream.read(limit).decode(encoding, errors="ignore").lstrip("\ufeff")
-                headers.append(next((row for row in csv.reader(text.splitlines()) if row), []))
-            yield pd.DataFrame({"path": batch["path"], "header": headers})
 
-    return files.select("path", "encoding").repartition("path").mapInPandas(first_lines, "path string, header array<string>")
-
-
-def _positional(spark: SparkSession, paths: list[str], encoding: str, multi_line: bool) -> DataFrame:
-    """All fields as strings by position; the header line of every file is skipped."""
-    reader = (
-        spark.read.schema(", ".join(f"_c{i} string" for i in range(POSITIONS)))
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("multiLine", multi_line)
-        .option("encoding", encoding)
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-    )
-    return reader.csv(paths)
+def read_header(spark: SparkSession, path: str, encoding: str, line_breaks: bool = True) -> list[str]:
+    """The first record of a file, read by the same parser as the rest; reading stops after it."""
+    first = _reader(spark, encoding, line_breaks).option("header", False).csv(path).head()
+    names = [] if first is None else [value or "" for value in first]
+    return [name.strip("\r\n").removeprefix("\ufeff") for name in names]
 
 
-def read_pos_csv(
-    spark: SparkSession, paths: list[str], encoding: str = "UTF-8", multi_line: bool = True
-) -> DataFrame:
+def read_pos_csv(spark: SparkSession, paths: list[str], encoding: str = "UTF-8", line_breaks: bool = True) -> DataFrame:
     """Rows of the files with the eleven columns taken by header name, whatever their order.
 
-    Columns a file lacks are NULL and extra ones are ignored. ``file_block`` and ``file_row`` order the lines of a file.
-    ``multi_line=False`` lets Spark split big files between tasks; use it where no field holds a line break.
+    Columns a file lacks are NULL, extra ones are ignored, and of a repeated name the last column counts.
+    ``file_block`` and ``file_row`` order the lines of a file. ``line_breaks=False`` lets Spark split big files
+    between tasks; use it where no field holds a line break.
     """
-    files = spark.createDataFrame([(p, encoding) for p in paths], "path string, encoding string")
-    # one short row per file of the batch
-    headers = {r.path: tuple(h.strip("\r\n") for h in r.header) for r in read_headers(files).collect()}
+    with ThreadPoolExecutor(HEADER_JOBS) as pool:
+        headers = list(pool.map(lambda path: tuple(read_header(spark, path, encoding, line_breaks)), paths))
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        by_header.setdefault(headers[path], []).append(path)
+    for path, header in zip(paths, headers):
+        by_header.setdefault(header, []).append(path)
     parts = []
     for header, group in by_header.items():
-        columns = [
-            (F.col(f"_c{header.index(name)}") if name in header else F.lit(None).cast("string")).alias(name)
-            for name in POS_COLUMNS
-        ]
-        rows = _positional(spark, group, encoding, multi_line)
+        place = {name: i for i, name in enumerate(header)}
+        columns = [(F.col(f"_c{place[name]}") if name in place else F.lit(None).cast("string")).alias(name) for name in POS_COLUMNS]
+        kinds = ", ".join(f"_c{i} string" for i in range(max(len(header), 1)))
+        rows = _reader(spark, encoding, line_breaks).schema(kinds).option("header", True).option("enforceSchema", True).csv(group)
         parts.append(
             rows.select(
                 *columns,
@@ -135,46 +99,28 @@ def read_pos_csv(
     return out
 
 
-def with_line_breaks(spark: SparkSession, paths: list[str]) -> set[str]:
-    """Files in which a quoted field may run over several lines.
-
-    If every line of a file has an even number of quotes, each line starts outside a quoted field, so
-    every record is one line and the file can be cut at any line.
-    """
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    open_lines = spark.read.text(paths).where(quotes % 2 == 1)
-    return {r.path for r in open_lines.select(F.col("_metadata.file_path").alias("path")).distinct().collect()}
-
-
 def read_landing(
-    spark: SparkSession,
-    root: str,
-    date: str | dt.date,
-    encodings: dict[str, str] | None = None,
-    split_bytes: int = SPLIT_BYTES,
+    spark: SparkSession, root: str, date: str | dt.date, encodings: dict[str, str] | None = None, line_breaks: bool = True
 ) -> DataFrame:
     """All store files of one date; ``encodings`` names the stores that do not send UTF-8.
 
-    A file is read by one task, since quoted fields may hold line breaks, unless it is a UTF-8 file
-    above ``split_bytes`` found to hold none.
+    A file is read by one task, since quoted fields may hold line breaks, unless ``line_breaks=False`` says that this
+    feed has none. The size of a file plays no part.
     """
     encodings = encodings or {}
     try:
-        arrivals = list_arrivals(spark, root, date).where("store_id is not null").select("path", "store_id", "length").collect()
+        arrivals = list_arrivals(spark, root, date).where("store_id is not null").select("path", "store_id").collect()
     except Exception as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
         arrivals = []
     if not arrivals:
         raise NoInputFiles(f"no store files under {root}/{date}")
-    big = [r.path for r in arrivals if r.length > split_bytes and encodings.get(r.store_id, "UTF-8") == "UTF-8"]
-    splittable = set(big) - with_line_breaks(spark, big) if big else set()
-    groups: dict[tuple[str, bool], list[str]] = {}
+    groups: dict[str, list[str]] = {}
     for row in arrivals:
-        group = encodings.get(row.store_id, "UTF-8"), row.path not in splittable
-        groups.setdefault(group, []).append(row.path)
+        groups.setdefault(encodings.get(row.store_id, "UTF-8"), []).append(row.path)
     out = None
-    for (encoding, multi_line), paths in sorted(groups.items()):
-        part = read_pos_csv(spark, sorted(paths), encoding, multi_line)
+    for encoding, paths in sorted(groups.items()):
+        part = read_pos_csv(spark, sorted(paths), encoding, line_breaks)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
