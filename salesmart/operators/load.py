@@ -73,6 +73,7 @@ def run(
     if on_violation == "fail":
         gates.enforce(pending, dims)
         return pending, None
+    limits.pop("row_count", None)  # of the rows before the gates
     return gates.quarantine(pending, dims, scratch, **limits)
 
 

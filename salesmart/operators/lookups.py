@@ -28,6 +28,7 @@ def attach(
     max_rows: int = BROADCAST_ROWS,
     hot_keys: int = HOT_KEYS,
     hot_rows: int = HOT_ROWS,
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Left join with at most one ``right`` row per key, safe when one key holds much of ``left``.
 
@@ -35,7 +36,9 @@ def attach(
     ``left``. When ``left_rows``, or else a count of ``right`` once written, is within ``max_rows``,
     ``right`` is broadcast and ``left`` is not shuffled at all. Beyond that, the heaviest keys (a fixed
     number) are broadcast, and their left rows get a key of their own in the shuffle join of the rest,
-    so they spread over all tasks; no right row is left out.
+    so they spread over all tasks; no right row is left out. ``heavy`` (key, weight) counts the keys of
+    ``left`` where ``right`` lacks some of them: a key without a right row can be as hot. NULL keys match
+    nothing and are spread, too.
     """
     payload = [name for name in right.columns if name not in (key, weight)]
     small = left_rows is not None and left_rows <= max_rows
@@ -45,13 +48,12 @@ def attach(
     if small:
         return left.join(F.broadcast(right.drop(weight)), key, "left")
 
-    hot = (
-        right.where(F.col(weight) >= hot_rows)
-        .orderBy(F.desc(weight), key)
-        .limit(hot_keys)
-        .select(key, F.lit(True).alias("_hot"), *[F.col(name).alias(f"_hot_{name}") for name in payload])
-    )
-    spread = F.when(F.col("_hot"), F.concat(F.lit("\u0000"), F.col(row_id).cast("string"))).otherwise(F.col(key))
+    counted = right if heavy is None else heavy
+    hottest = counted.where(F.col(weight) >= hot_rows).orderBy(F.desc(weight), key).limit(hot_keys).select(key)
+    found = right.select(key, *[F.col(name).alias(f"_hot_{name}") for name in payload])
+    hot = hottest.join(found, key, "left").withColumn("_hot", F.lit(True))
+    alone = F.col("_hot") | F.col(key).isNull()
+    spread = F.when(alone, F.concat(F.lit("\u0000"), F.col(row_id).cast("string"))).otherwise(F.col(key))
     rest = right.select(F.col(key).alias("_key"), *payload)
     return (
         left.join(F.broadcast(hot), key, "left")

@@ -50,14 +50,12 @@ def rules(options: Options = Options()) -> Column:
     )
 
 
-def loaded_ids(rows: DataFrame, fact_ids: DataFrame, row_count: int, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Transaction ids of ``rows`` that the fact already holds, with how many rows carry each.
+def loaded_ids(batch: DataFrame, fact_ids: DataFrame, row_count: int, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Those of a batch's ids, with their counts, that the fact already holds.
 
-    Only ids travel, and the batch is counted per id first. A batch of at most ``max_rows`` rows is
-    broadcast to the fact's files, so the fact is scanned but not shuffled; a larger one is
-    shuffle-joined.
+    A batch of at most ``max_rows`` rows is broadcast to the id files. A larger one is joined on the id; where
+    ``fact_ids`` is bucketed by id, only the batch moves.
     """
-    batch = rows.where("transaction_id is not null").groupBy("transaction_id").agg(F.count("*").alias("_rows"))
     if row_count <= max_rows:
         matches = fact_ids.select("transaction_id").join(F.broadcast(batch), "transaction_id")
         return matches.dropDuplicates(["transaction_id"])
@@ -75,13 +73,17 @@ def mark_loaded(
 ) -> DataFrame:
     """Add ``is_loaded``: the transaction id is in the fact.
 
-    ``source`` is the table the ids of ``rows`` come from, when ``rows`` itself is a longer plan.
+    ``source`` is the table the ids of ``rows`` come from, when ``rows`` itself is a longer plan. Only ids
+    travel, and the batch is counted per id first.
     """
     source = rows if source is None else source
     row_count = source.count() if row_count is None else row_count
-    found = loaded_ids(source, fact_ids, row_count, max_rows).withColumn("_found", F.lit(True))
+    batch = source.where("transaction_id is not null").groupBy("transaction_id").agg(F.count("*").alias("_rows"))
+    if row_count > max_rows:
+        batch = scratch.table(batch, "batch-ids")
+    found = loaded_ids(batch, fact_ids, row_count, max_rows).withColumn("_found", F.lit(True))
     limits |= {"left_rows": row_count, "max_rows": max_rows}
-    marked = attach(rows, found, "transaction_id", "_rows", "stg_id", scratch, **limits)
+    marked = attach(rows, found, "transaction_id", "_rows", "stg_id", scratch, heavy=batch, **limits)
     return marked.withColumn("is_loaded", F.coalesce("_found", F.lit(False))).drop("_found")
 
 
