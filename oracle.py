@@ -96,8 +96,8 @@ DIMS = """
 dim_store AS (
   SELECT CAST(n_nationkey + 1 AS INT) AS store_key, concat('S', lpad(CAST(n_nationkey + 1 AS VARCHAR), 2, '0')) AS store_id,
          concat('Store ', n_name) AS store_name, n_name AS city, r_name AS region,
-         concat('OWNER_', CAST(n_nationkey % 7 AS VARCHAR)) AS franchise_owner, true AS is_active
-  FROM nation JOIN region ON r_regionkey = n_regionkey WHERE n_nationkey < 12),
+         concat('OWNER_', CAST(n_nationkey % 7 AS VARCHAR)) AS franchise_owner, n_nationkey < 12 AS is_active
+  FROM nation JOIN region ON r_regionkey = n_regionkey),
 dim_product AS (
   SELECT CAST(1 + p_partkey % 17 AS INT) AS product_key,
          concat('P', lpad(CAST(1 + p_partkey % 17 AS VARCHAR), 3, '0')) AS product_sku,
@@ -278,7 +278,7 @@ QUERIES: dict[str, str] = {
     "expected_files": _with(
         DIMS,
         select="SELECT store_id, full_date AS business_date, concat(store_id, '_sales_', strftime(full_date, '%Y-%m-%d'), '.csv') AS expected_file "
-        "FROM dim_store, dim_date WHERE full_date <= DATE '2025-12-31'",
+        "FROM dim_store, dim_date WHERE is_active AND full_date <= DATE '2025-12-31'",
     ),
     "missing_files": _with(
         *TO_RUNS,
@@ -293,6 +293,13 @@ QUERIES: dict[str, str] = {
         f"{moment('t')} AS transaction_ts, CAST(strftime({moment('t')}, '%Y%m%d') AS INT) AS date_key FROM texts",
     ),
     "dim_store": _with(DIMS, select=f"SELECT *, {LOAD_TIME} AS created_at, {LOAD_TIME} AS updated_at FROM dim_store"),
+    "dim_refresh": _with(
+        DIMS,
+        select="SELECT store_key, store_id, store_name, CASE WHEN store_key % 5 = 0 AND store_key < 25 THEN upper(city) || ' NEW' ELSE city END AS city, "
+        f"is_active AND store_key < 25 AS is_active, {LOAD_TIME} AS created_at, "
+        f"CASE WHEN store_key = 25 THEN {LOAD_TIME} ELSE TIMESTAMP '2026-02-01 00:00:00' END AS updated_at FROM dim_store "
+        "UNION ALL SELECT 26, 'S26', 'Store 26', 'NEWTOWN', true, TIMESTAMP '2026-02-01 00:00:00', TIMESTAMP '2026-02-01 00:00:00'",
+    ),
     "dim_product": _with(DIMS, select=f"SELECT *, {LOAD_TIME} AS created_at, {LOAD_TIME} AS updated_at FROM dim_product"),
     "dim_payment": _with(DIMS, select="SELECT * FROM dim_payment"),
     "dim_date": _with(
@@ -475,6 +482,7 @@ QUERIES: dict[str, str] = {
         *TO_FACT, select=f"SELECT max(date_key) AS latest_date_key, {LOAD_TIME} AS latest_load FROM fact"
     ),
     "stream_load": _with(*TO_FACT, select=f"SELECT {FACT_COLUMNS} FROM fact"),
+    "stream_load_mixed": _with(*TO_FACT, select=f"SELECT {FACT_COLUMNS} FROM fact"),
     "stream_hourly_sales": "SELECT date_trunc('hour', ts) AS hour_start, event_type, count(*) AS sales, "
     "CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS value_sum FROM events GROUP BY 1, 2",
 }

@@ -137,7 +137,7 @@ def dims(spark: SparkSession, sf_dir: str) -> Dims:
 
 def _build_dims(spark: SparkSession, sf_dir: str) -> Dims:
     def store(_: Scratch) -> DataFrame:
-        nations = read(spark, sf_dir, "nation").where("n_nationkey < 12")
+        nations = read(spark, sf_dir, "nation")
         regions = read(spark, sf_dir, "region").withColumnRenamed("r_regionkey", "n_regionkey")
         source = nations.join(regions, "n_regionkey").select(
             (F.col("n_nationkey") + 1).alias("store_key"),
@@ -146,6 +146,8 @@ def _build_dims(spark: SparkSession, sf_dir: str) -> Dims:
             F.col("n_name").alias("city"),
             F.col("r_name").alias("region"),
             F.concat(F.lit("OWNER_"), (F.col("n_nationkey") % 7).cast("string")).alias("franchise_owner"),
+            # the feed has twelve stores; the others have closed
+            (F.col("n_nationkey") < 12).alias("is_active"),
         )
         return dim_ops.build_store(source, now=load_time()).coalesce(1)
 

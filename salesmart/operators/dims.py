@@ -54,23 +54,39 @@ def _keyed(source: DataFrame, part: str, scratch: Scratch | None, existing: Data
     return assign_dim_keys(source, key, natural, scratch or Scratch(source.sparkSession, f"dim-{part}"), existing)
 
 
+def _refreshed(built: DataFrame, existing: DataFrame | None, part: str, now: Column | None) -> DataFrame:
+    """``built`` and what only ``existing`` holds: known members keep their ``created_at``, and members that left
+    the source stay, inactive, so that facts still find them."""
+    if existing is None:
+        return built
+    _, natural = NATURAL_KEYS[part]
+    gone = existing.join(built.select(natural), natural, "left_anti").select(*built.columns)
+    if "created_at" not in built.columns:
+        return built.unionByName(gone)
+    moment = now if now is not None else F.current_timestamp().cast("timestamp_ntz")
+    known = existing.select(natural, F.col("created_at").alias("_since"))
+    kept = built.join(known, natural, "left").withColumn("created_at", F.coalesce("_since", "created_at")).select(*built.columns)
+    left = F.when(F.col("is_active"), moment).otherwise(F.col("updated_at"))
+    return kept.unionByName(gone.withColumns({"updated_at": left, "is_active": F.lit(False)}))
+
+
 def build_store(
     source: DataFrame, existing: DataFrame | None = None, now: Column | None = None, scratch: Scratch | None = None
 ) -> DataFrame:
-    """Overwrite-style refresh: attributes from ``source``, keys of known stores kept."""
+    """Refresh: attributes from ``source``, keys and creation times of known stores kept."""
     keyed = _keyed(source, "store", scratch, existing)
-    return _conform(_stamp(keyed, now), schema.DIM_STORE)
+    return _refreshed(_conform(_stamp(keyed, now), schema.DIM_STORE), existing, "store", now)
 
 
 def build_product(
     source: DataFrame, existing: DataFrame | None = None, now: Column | None = None, scratch: Scratch | None = None
 ) -> DataFrame:
     keyed = _keyed(source, "product", scratch, existing)
-    return _conform(_stamp(keyed, now), schema.DIM_PRODUCT)
+    return _refreshed(_conform(_stamp(keyed, now), schema.DIM_PRODUCT), existing, "product", now)
 
 
 def build_payment(source: DataFrame, existing: DataFrame | None = None, scratch: Scratch | None = None) -> DataFrame:
-    return _conform(_keyed(source, "payment", scratch, existing), schema.DIM_PAYMENT)
+    return _refreshed(_conform(_keyed(source, "payment", scratch, existing), schema.DIM_PAYMENT), existing, "payment", None)
 
 
 def contract_violations(dims: Dims) -> DataFrame:

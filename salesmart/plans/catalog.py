@@ -14,7 +14,7 @@ from salesmart.functions.measures import with_measures
 from salesmart.operators import dims as dim_ops, gates, load, staging, validate
 from salesmart.operators.ids import assign_ids
 from salesmart.plans import marts, quality, runlog
-from salesmart.plans.daily import Settings
+from salesmart.plans.daily import Settings, validate_and_load
 from salesmart.schema import POS_COLUMNS, RUN_ENDED, RUN_STARTED
 from salesmart.sources import landing
 from salesmart.sources.warehouse import Warehouse
@@ -173,6 +173,19 @@ def dim_store(spark, sf):
     return fx.dims(spark, sf).store
 
 
+@query
+def dim_refresh(spark, sf):
+    """The stored stores refreshed: some cities changed, the last store gone, one new."""
+    stored = fx.dims(spark, sf).store
+    changed = F.when(F.col("store_key") % 5 == 0, F.concat(F.upper("city"), F.lit(" NEW"))).otherwise(F.col("city"))
+    source = stored.where("store_key < 25").withColumn("city", changed).drop("store_key", "created_at", "updated_at")
+    fresh = {"store_id": "S26", "store_name": "Store 26", "city": "NEWTOWN"}
+    new = stored.where("store_key = 1").withColumns({name: F.lit(value) for name, value in fresh.items()}).select(*source.columns)
+    now = F.lit("2026-02-01 00:00:00").cast("timestamp_ntz")
+    refreshed = dim_ops.build_store(source.unionByName(new), stored, now, Scratch(spark, "refresh"))
+    return refreshed.select("store_key", "store_id", "store_name", "city", "is_active", "created_at", "updated_at")
+
+
 @query
 def dim_product(spark, sf):
     return fx.dims(spark, sf).product
@@ -467,22 +480,39 @@ def sla_report(spark, sf):
 # streaming
 
 
+def _stream_house(spark, sf, place):
+    """An empty warehouse that knows the dimensions and the ids of an earlier load."""
+    warehouse = Warehouse(spark, f"{place.path}/warehouse").create()
+    warehouse.write_dims(fx.dims(spark, sf))
+    warehouse.write_ids(fx.loaded_before(spark, sf), "run-0")
+    return warehouse
+
+
 @query
 def stream_load(spark, sf):
     """The staged rows as a file stream, loaded in two micro-batches into an empty warehouse."""
     source = fx.staged(spark, sf)
     place = Scratch(spark, "stream")
-    warehouse = Warehouse(spark, f"{place.path}/warehouse").create()
-    warehouse.write_dims(fx.dims(spark, sf))
-    earlier = fx.loaded_before(spark, sf).select("transaction_id")
-    blank = {f.name: F.lit(None).cast(f.dataType) for f in schema.FACT if f.name != "transaction_id"}
-    seeded = earlier.withColumns(blank).withColumn("sale_month", F.lit(0)).select(*[f.name for f in schema.FACT], "sale_month")
-    seeded.write.mode("overwrite").partitionBy("sale_month").parquet(f"{warehouse.path('fact_sales')}/load_id=0")
-    folder = fx.staged_path(spark, sf)
+    warehouse = _stream_house(spark, sf, place)
     per_batch = -(-len(source.inputFiles()) // 2)
-    rows = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", per_batch).parquet(folder)
+    rows = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", per_batch).parquet(fx.staged_path(spark, sf))
     ingest.start_load(rows, warehouse, f"{place.path}/checkpoint", Settings(raw=""), staged=True).awaitTermination()
-    return warehouse.fact().where("load_id > 0").select(*FACT_COLUMNS)
+    return warehouse.fact().select(*FACT_COLUMNS)
+
+
+@query
+def stream_load_mixed(spark, sf):
+    """A daily slice of some staged files, then two streams over all of them, the second a replay of the first."""
+    source = fx.staged(spark, sf)
+    place = Scratch(spark, "mixed")
+    warehouse = _stream_house(spark, sf, place)
+    files = sorted(source.inputFiles())
+    some = spark.read.schema(source.schema).parquet(*files[: max(1, len(files) // 3)])
+    validate_and_load(warehouse, some, "run-1", place, Settings(raw=""))
+    for name, batches in (("first", 2), ("second", 1)):
+        rows = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", -(-len(files) // batches)).parquet(fx.staged_path(spark, sf))
+        ingest.start_load(rows, warehouse, f"{place.path}/{name}", Settings(raw=""), staged=True, name=name).awaitTermination()
+    return warehouse.fact().select(*FACT_COLUMNS)
 
 
 @query

@@ -16,7 +16,7 @@ from salesmart.storage import Scratch
 def stream_pos_csv(
     spark: SparkSession, root: str, glob: str = "*.csv", encoding: str = "UTF-8", archive: str | None = None, files_per_batch: int | None = None
 ) -> DataFrame:
-    """Store files as a stream; one stream per encoding (``glob`` picks its files).
+    """Store files of one encoding as a stream (``glob`` picks its files); ``stream_stores`` joins several.
 
     A stream binds columns by position, so headers are checked against the standard order and a file
     with another order stops the stream. With ``archive``, a batch's files move there once a later
@@ -29,7 +29,7 @@ def stream_pos_csv(
         .option("multiLine", True)
         .option("escape", '"')
         .option("encoding", encoding)
-        .option("recursiveFileLookup", True)
+        .option("recursiveFileLookup", True)  # the date folders below the root
         .option("pathGlobFilter", glob)
     )
     if archive:
@@ -41,6 +41,23 @@ def stream_pos_csv(
     )
 
 
+def stream_stores(
+    spark: SparkSession, root: str, stores: list[str], encodings: dict[str, str] | None = None, **options
+) -> DataFrame:
+    """The files of all ``stores`` as one stream, whatever their encodings, so that one query loads them."""
+    groups: dict[str, list[str]] = {}
+    for store in stores:
+        groups.setdefault((encodings or {}).get(store, "UTF-8"), []).append(store)
+    parts = [
+        stream_pos_csv(spark, root, f"{{{','.join(sorted(group))}}}_sales_*.csv", encoding, **options)
+        for encoding, group in sorted(groups.items())
+    ]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    return rows
+
+
 def stage_batch(rows: DataFrame, scratch: Scratch) -> DataFrame:
     """Number the rows of one micro-batch by file and line and stage them."""
     placed = rows.withColumn("file_row", F.monotonically_increasing_id())
@@ -53,23 +70,30 @@ def start_load(
     checkpoint: str,
     settings: Settings | None = None,
     staged: bool = False,
+    name: str = "stream",
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Validate and load every micro-batch of ``rows``.
 
-    A batch writes slices named after its batch id and ignores its own earlier slice when it looks
-    for loaded ids, so a batch repeated after a failure gives the same tables.
+    A batch writes slices named after the stream and its batch id and ignores its own earlier slice when it looks
+    for loaded ids, so a batch repeated after a failure gives the same tables. ``name`` belongs to the
+    ``checkpoint`` that first used it; another stream needs a name of its own. ``trigger`` is for
+    ``DataStreamWriter.trigger``; by default what is there is loaded and the query ends.
     """
     settings = settings or Settings(raw="")
+    warehouse.claim(name, checkpoint)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         scratch = Scratch(warehouse.spark, f"batch-{batch_id}")
-        table = scratch.table(batch, "staged") if staged else stage_batch(batch, scratch)
-        validate_and_load(warehouse, table, batch_id + 1, scratch, settings)
-        scratch.drop()
+        try:
+            table = scratch.table(batch, "staged") if staged else stage_batch(batch, scratch)
+            validate_and_load(warehouse, table, f"{name}-{batch_id}", scratch, settings)
+        finally:
+            scratch.drop()
 
     return (
         rows.writeStream.foreachBatch(load_batch)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )

@@ -85,26 +85,52 @@ def test_utf16_store_reads_like_the_others(spark, tmp_path):
     assert got.where("product_name = 'Café crème' and cashier_id = 'S01_C01'").count() == 30
 
 
-def test_big_files_are_split_only_without_line_breaks(spark, tmp_path):
+def test_a_feed_declared_without_line_breaks_is_split(spark, tmp_path):
     write(tmp_path, "S01", [sale("S01", n, product_name='a "b", c') for n in range(400)])
-    write(tmp_path, "S02", [sale("S02", n, category="two\nlines") for n in range(400)])
     root = f"file:{tmp_path}"
-    paths = [r.path for r in landing.list_arrivals(spark, root, DAY).collect()]
-    assert {p.rsplit("/", 1)[1][:3] for p in landing.with_line_breaks(spark, paths)} == {"S02"}
     want = collected(landing.read_landing(spark, root, DAY))
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
     try:
-        split = landing.read_landing(spark, root, DAY, split_bytes=1000)
-        assert collected(split) == want and len(want) == 800
-        assert split.where("store_id = 'S01'").select("file_block").distinct().count() > 1
-        assert split.where("store_id = 'S02'").select("file_block").distinct().count() == 1
-        order = [r.transaction_id for r in split.where("store_id = 'S01'").orderBy("file_block", "file_row").collect()]
+        assert collected(landing.read_landing(spark, root, DAY)) == want
+        split = landing.read_landing(spark, root, DAY, line_breaks=False)
+        assert collected(split) == want and len(want) == 400
+        assert split.select("file_block").distinct().count() > 1
+        order = [r.transaction_id for r in split.orderBy("file_block", "file_row").collect()]
         assert order == sorted(order)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_reader_has_no_caps(spark, tmp_path):
+    """Over a hundred columns, a repeated name (the last counts), a long header and odd folder names."""
+    root = tmp_path / "raw six #1^é"
+    extra = [f"extra_{i}_{'x' * 900}" for i in range(100)]
+    write(root, "S01", [sale("S01", 1)], columns=[*extra, *POS_COLUMNS])
+    path = root / str(DAY) / f"S02_sales_{DAY}.csv"
+    path.write_text(",".join([*POS_COLUMNS, "quantity"]) + "\n" + ",".join([*sale("S02", 1).values(), "9"]) + "\n")
+    below = root / str(DAY) / "copy"
+    below.mkdir()
+    (below / f"S01_sales_{DAY}.csv").write_text(path.read_text())
+    got = {r.store_id: r for r in landing.read_landing(spark, f"file:{root}", DAY).collect()}
+    assert set(got) == {"S01", "S02"}
+    assert {c: got["S01"][c] for c in POS_COLUMNS} == sale("S01", 1) and got["S02"].quantity == "9"
+
+
+def test_lone_carriage_returns_and_blank_lines_do_not_depend_on_block_size(spark, tmp_path):
+    write(tmp_path, "S01", [sale("S01", n, product_name="a\rb" if n == 2 else "plain") for n in range(5)])
+    with open(tmp_path / str(DAY) / f"S01_sales_{DAY}.csv", "a", newline="") as f:
+        f.write("   \r\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    want = collected(landing.read_landing(spark, f"file:{tmp_path}", DAY))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    try:
+        assert collected(landing.read_landing(spark, f"file:{tmp_path}", DAY)) == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [row[5] for row in want if row[1] and row[1].endswith("00002")] == ["a\rb"]
+
+
 def test_arrivals_and_missing_files(spark, tmp_path, dims):
     write(tmp_path, "S01", [sale("S01", 1)])
     (tmp_path / str(DAY) / "notes.txt").write_text("x")
@@ -123,7 +149,9 @@ def test_daily_run_end_to_end(spark, warehouse, tmp_path):
     first = daily.run_day(warehouse, settings, DAY)
     assert first == {
         "files_processed": 11, "rows_staged": 56, "rows_passed": 54, "rows_rejected": 2, "rows_duplicates": 1, "rows_loaded": 54, "run_id": 1,
+        "remaining_rejected_rows": 2,
     }
+    assert warehouse.read("staging").count() == 0
     rejects = {r.rejection_reason for r in warehouse.read("rejects").collect()}
     assert rejects == {"DUPLICATE", "V05: unit_price is not a valid positive decimal - 3.8X"}
     # the resent row is the one after the original
@@ -152,17 +180,128 @@ def test_daily_run_end_to_end(spark, warehouse, tmp_path):
     history = [(r.run_date, r.store_id) for r in quality.missing_history(warehouse.read("missing_files")).collect()]
     assert history == [(DAY, "S07")] * 2
     assert marts.daily_store(fact, warehouse.dims()).count() == 23
-    kept = daily.clear(warehouse, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
-    assert kept.count() == warehouse.read("rejects").count()
-    assert daily.clear(warehouse, dt.datetime(2040, 1, 1)).count() == 0
+    assert daily.clear(warehouse, settings) == warehouse.read("rejects").count() > 0
+    assert daily.clear(warehouse, settings, now=dt.datetime(2040, 1, 1)) == 0 == warehouse.read("rejects").count()
+    archived = daily.Settings(f"file:{raw}", seeds.ENCODINGS, archive=f"file:{tmp_path}/archive")
+    daily.run_day(warehouse, archived, next_day)
+    assert not list((raw / str(next_day)).glob("*.csv")) and len(list((tmp_path / "archive" / str(next_day)).glob("*.csv"))) == 12
+
+
+def test_a_large_batch_moves_no_loaded_id(spark, warehouse):
+    """The id table is bucketed: beyond the broadcast bound only the batch is exchanged."""
+    from salesmart.operators import validate
+
+    warehouse.write_ids(spark.range(2000).select(F.concat(F.lit("T"), "id").alias("transaction_id")), "run-1")
+    warehouse.write_ids(spark.range(2000, 3000).select(F.concat(F.lit("T"), "id").alias("transaction_id")), "run-2")
+    batch = spark.range(1900, 4000).select(F.concat(F.lit("T"), "id").alias("transaction_id")).groupBy("transaction_id").agg(F.count("*").alias("_rows"))
+    found = validate.loaded_ids(batch, warehouse.fact_ids("run-9"), 10**6, 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if "loaded_ids" in line)
+    depth, above = len(lines[at]), []  # the scan's ancestors, up to the join
+    for line in reversed(lines[: at + 1]):
+        indent = len(line) - len(line.lstrip(" :+-*("))
+        if indent < depth:
+            depth = indent
+            above.append(line)
+        if "Join" in line:
+            break
+    assert "Bucketed: true" in plan and "Join" in above[-1]
+    assert not any("Exchange" in line for line in above)
+    assert found.count() == 1100
+    assert validate.loaded_ids(batch, warehouse.fact_ids("run-2"), 10**6, 0).count() == 100
+
+
+def test_absent_hot_ids_are_spread(spark, scratch):
+    """Four fifths of the rows share one blank id that was never loaded, and some ids are NULL."""
+    from salesmart.operators import validate
+
+    share = F.when(F.col("id") % 5 > 0, F.lit("  ")).when(F.col("id") % 50 == 0, F.lit(None)).otherwise(F.concat(F.lit("T"), "id"))
+    rows = scratch.table(spark.range(20_000).select(F.col("id").alias("stg_id"), share.alias("transaction_id")), "rows")
+    ids = spark.createDataFrame([("T5",), ("T10",)], "transaction_id string")
+    for key, value in {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16", "spark.sql.autoBroadcastJoinThreshold": "-1"}.items():
+        spark.conf.set(key, value)
+    try:
+        marked = validate.mark_loaded(rows, ids, scratch, row_count=20_000, max_rows=0, hot_rows=10, hot_keys=5)
+        sizes = [row["count"] for row in marked.groupBy(F.spark_partition_id()).count().collect()]
+        assert marked.where("is_loaded").count() == 2 and marked.count() == 20_000
+        assert max(sizes) < 2 * 20_000 / 16
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+
+
+def test_a_load_reads_no_fact_rows(spark, warehouse, tmp_path):
+    """Sales keys come from markers and loaded ids from their own table; a redone load keeps its keys."""
+    assert [warehouse.reserve_keys(name, 10) for name in ("a-0", "b-0", "a-0")] == [1, 11, 1]
+    assert warehouse.reserve_keys("c-0", 5) == 21
+    assert "loaded_ids" in warehouse.fact_ids()._jdf.queryExecution().optimizedPlan().toString()
+
 
+def test_two_runs_at_once_get_their_own_ids(spark, warehouse):
+    from concurrent.futures import ThreadPoolExecutor
 
-def test_look_back_reads_only_recent_months(warehouse):
-    march = dt.date(2025, 3, 1)
-    assert [daily.since_month(march, n) for n in (None, 0, 1, 3)] == [None, 202503, 202502, 202412]
-    plan = warehouse.fact_ids(9, 202502)._jdf.queryExecution().executedPlan().toString()
-    filters = next(line for line in plan.splitlines() if "FileScan" in line).split("PartitionFilters: ")[1]
-    assert "sale_month" in filters and "load_id" in filters
+    with ThreadPoolExecutor(8) as pool:
+        ids = list(pool.map(lambda _: warehouse.new_run_id(), range(16)))
+    assert sorted(ids) == list(range(1, 17))
+
+
+def test_quarantine_counts_every_staged_row(spark, warehouse, tmp_path):
+    """One good row, one overlong, one held by a gate: staged = passed + rejected."""
+    raw = tmp_path / "raw"
+    write(raw, "S01", [sale("S01", 1), sale("S01", 2, quantity="1" * 11), sale("S01", 3, discount_applied="abc")])
+    done = daily.run_day(warehouse, daily.Settings(f"file:{raw}", on_violation="quarantine"), DAY)
+    assert [done[name] for name in ("rows_staged", "rows_passed", "rows_rejected", "rows_loaded")] == [3, 1, 2, 1]
+
+
+def test_stream_checks_lengths_like_the_daily_run(spark, warehouse, tmp_path):
+    write(tmp_path / "raw", "S01", [sale("S01", 1), sale("S01", 2, cashier_id="c" * 500)])
+    rows = ingest.stream_pos_csv(spark, f"file:{tmp_path}/raw")
+    settings = daily.Settings(raw="", on_violation="quarantine")
+    ingest.start_load(rows, warehouse, f"{tmp_path}/checkpoint", settings).awaitTermination()
+    assert warehouse.fact().count() == 1 and warehouse.read("rejects").first().rejection_reason.startswith("LENGTH: cashier_id")
+
+
+def test_one_stream_takes_all_encodings_after_a_daily_run(spark, warehouse, tmp_path):
+    raw, settings = tmp_path / "raw", None
+    write_day(raw)
+    settings = daily.Settings(f"file:{raw}", seeds.ENCODINGS)
+    daily.run_day(warehouse, settings, DAY)
+    next_day = DAY + dt.timedelta(days=1)
+    write_day(raw, next_day, skip=())
+    stores = [store for store, *_ in seeds.STORES]
+    rows = ingest.stream_stores(spark, f"file:{raw}", stores, seeds.ENCODINGS, files_per_batch=9)
+    ingest.start_load(rows, warehouse, f"{tmp_path}/checkpoint", trigger={"availableNow": True}).awaitTermination()
+    assert warehouse.fact().count() == 54 + 59
+    assert warehouse.fact().select("sales_key").distinct().count() == 54 + 59
+    with pytest.raises(Exception, match="belongs to"):
+        ingest.start_load(rows, warehouse, f"{tmp_path}/other")
+
+
+def test_a_failed_refresh_leaves_the_old_dimensions(spark, warehouse):
+    from salesmart.operators import dims as dim_ops
+
+    old = warehouse.dims()
+    counts = {name: df.count() for name, df in old.items()}
+    source = old.store.where("store_id != 'S12'").withColumn("city", F.lit("Moved")).drop("store_key", "created_at", "updated_at")
+    broken = dim_ops.Dims(old.store.unionByName(old.store.limit(1)), old.product, old.payment, old.date)
+    with pytest.raises(dim_ops.DimensionContractError):
+        warehouse.write_dims(broken)
+    assert {name: df.count() for name, df in warehouse.dims().items()} == counts
+    built = dim_ops.build_store(source, old.store)
+    fresh = warehouse.write_dims(dim_ops.Dims(built, old.product, old.payment, old.date))
+    assert {name: df.count() for name, df in fresh.items()} == counts
+    rows = {r.store_id: r for r in fresh.store.collect()}
+    before = {r.store_id: r for r in old.store.collect()}
+    assert not rows["S12"].is_active and rows["S12"].city == before["S12"].city and rows["S01"].city == "Moved"
+    assert all(rows[s].store_key == before[s].store_key and rows[s].created_at == before[s].created_at for s in before)
 
 
 def test_failed_run_is_logged_and_loads_nothing(spark, warehouse, tmp_path):
