@@ -24,8 +24,8 @@ from salesmart.llm.tasks import ship, worker_cache
 from salesmart.storage import Scratch
 
 DEPTH = 4
-CHUNK_BYTES = 6 << 20
-MOST_NODES = 1 << 22  # 64 MB of broadcast keys, estimates and shares
+CHUNK_BYTES = 2 << 20
+MOST_NODES = 1 << 21  # 32 MB of broadcast keys, estimates and shares
 MOST_WORDS = 1 << 20  # 16 MB of broadcast word counts
 END_WORD = -1  # hash value that stands for the end token
 _GRAM, _WORD = 0, 1
@@ -60,7 +60,7 @@ def _log_gamma(x: Column) -> Column:
     """Stirling's series after six steps of the recurrence; exact to about 1e-10 for x >= 1/2."""
     z = x + 6
     steps = x * (x + 1) * (x + 2) * (x + 3) * (x + 4) * (x + 5)
-    return (z - 0.5) * F.log(z) - z + 0.5 * math.log(2 * math.pi) + 1 / (12 * z) - 1 / (360 * z * z * z) - F.log(steps)
+    return (z - 0.5) * F.log(z) - z + 0.5 * math.log(2 * math.pi) + 1 / (12 * z) - 1 / (360 * F.pow(z, 3)) + 1 / (1260 * F.pow(z, 5)) - 1 / (1680 * F.pow(z, 7)) - F.log(steps)
 
 
 def _log_kt(zeros: Column, ones: Column) -> Column:
@@ -173,24 +173,18 @@ def scored(documents: DataFrame, scratch: Scratch, training: Column, depth: int
     tokens, distinct = size["tokens"] or 0, size["distinct"]
     least = max(1, _least_count(words, MOST_WORDS))
 
-    level, context, node, p1, own = _arrays(nodes, "level", "context", "node", "p1", "own")
-    key, n = _arrays(words.where(F.col("n") >= least), "key", "n")
-    shipped = spark.sparkContext.broadcast(
-        (np.bitwise_or(_node_key(0, context, node), level.astype(np.uint64)), p1.astype(np.float32), own.astype(np.float32), key, n)
-    )
+    key = F.shiftleft("context", 12).bitwiseOR(F.shiftleft(F.col("node").cast("long"), 4)).bitwiseOR(F.col("level").cast("long"))
+    nodes = nodes.select(key.alias("key"), F.col("p1").cast("float").alias("p1"), F.col("own").cast("float").alias("own"))
+    nodes = kernels.in_order(*_arrays(nodes, "key", "p1", "own"))
+    shipped = spark.sparkContext.broadcast((nodes, kernels.in_order(*_arrays(words.where(F.col("n") >= least), "key", "n"))))
     token = scratch.path
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = worker_cache("ctw")
         if cache.get("token") != token:
-            keys, p, o, word_keys, word_counts = shipped.value
             cache.clear()
-            found, listed = kernels.Lookup(keys), kernels.Lookup(word_keys)
-            last = lambda x: np.concatenate([x, np.zeros(1, x.dtype)])  # noqa: E731  index -1
-            cache |= {
-                "token": token, "nodes": found, "p1": last(p[found.order]), "own": last(o[found.order]),
-                "words": listed, "counts": last(word_counts[listed.order]),
-            }
+            (keys, p, own), (word_keys, word_counts) = shipped.value
+            cache |= {"token": token, "nodes": kernels.Lookup(keys), "p1": p, "own": own, "words": kernels.Lookup(word_keys), "counts": word_counts}
         for batch in batches:
             for part in kernels.chunks(batch, "text", CHUNK_BYTES):
                 buffer, starts, ends = kernels.joined(part.column("text"), depth)

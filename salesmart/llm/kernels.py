@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from salesmart.llm.tasks import ship, worker_cache
 
@@ -18,8 +19,7 @@ _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 
 def chunks(batch: pa.RecordBatch, column: str, limit: int):
     """Slices of a batch whose texts hold about ``limit`` bytes; a longer text is a slice of its own."""
-    texts = batch.column(column)
-    sizes = np.array([len(x) for x in texts.cast(pa.binary()).fill_null(b"").to_pylist()], np.int64) if len(texts) else np.zeros(0, np.int64)
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     begin = 0
     while begin < len(sizes):
         end = begin + max(1, int(np.searchsorted(np.cumsum(sizes[begin:]), limit, side="right")))
@@ -44,7 +44,7 @@ def joined(texts: pa.Array, lead: int, fold: bool = True) -> tuple[np.ndarray, n
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     cache = worker_cache("powers")
     if len(cache.get("up", ())) < n:
-        size = 1 << max(20, int(n).bit_length())
+        size = ((int(n) >> 20) + 1) << 20
         for name, base in (("up", _BASE), ("down", _BASE_INVERSE)):
             steps = np.full(size, base, np.uint64)
             steps[0] = 1
@@ -118,22 +118,22 @@ def grams(buffer: np.ndarray, ends: np.ndarray, width: int) -> tuple[np.ndarray,
 
 
 class Lookup:
-    """Values by 64-bit key, found by direct index on the leading bits of the mixed key."""
+    """Places of 64-bit keys, found by direct index on the leading bits of the mixed key.
+
+    ``keys`` are mixed and sorted, as ``in_order`` leaves them.
+    """
 
     def __init__(self, keys: np.ndarray, bits: int = 20):
-        mixed_keys = mixed(keys.astype(np.uint64))
-        self.order = np.argsort(mixed_keys)
-        self.keys = np.concatenate([mixed_keys[self.order], np.zeros(1, np.uint64)])
-        self.shift = np.uint64(64 - bits)
-        heads = (mixed_keys[self.order] >> self.shift).astype(np.int64)
-        self.starts = np.searchsorted(heads, np.arange((1 << bits) + 1)).astype(np.int32)
-        self.longest = int(np.diff(self.starts).max()) if len(keys) else 0
+        self.keys, self.shift = keys, np.uint64(64 - bits)
+        heads = np.arange((1 << bits) + 1, dtype=np.uint64)
+        self.starts = np.searchsorted(keys, heads[:-1] << self.shift)
+        self.starts = np.concatenate([self.starts, [len(keys)]]).astype(np.int32)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
-        """Index of each key in sorted order of mixed keys, or -1."""
+        """Place of each (unmixed) key, or -1."""
         wanted = mixed(keys.astype(np.uint64))
         head = (wanted >> self.shift).astype(np.int64)
-        place, end = self.starts[head].copy(), self.starts[head + 1]
+        place, end = self.starts[head], self.starts[head + 1]
         found = np.full(len(keys), -1, np.int32)
         open_ = np.flatnonzero(place < end)
         while len(open_):
@@ -145,4 +145,11 @@ class Lookup:
         return found
 
 
+def in_order(keys: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
+    """Mixed keys in order for a ``Lookup``, and the values that go with them, with a zero at place -1."""
+    hashes = mixed(keys.astype(np.uint64))
+    order = np.argsort(hashes)
+    return [hashes[order], *[np.concatenate([value[order], np.zeros((1, *value.shape[1:]), value.dtype)]) for value in values]]
+
+
 ship(__name__)

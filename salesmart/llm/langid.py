@@ -20,7 +20,7 @@ from salesmart.llm import kernels
 from salesmart.llm.tasks import ship, worker_cache
 
 ORDER = 3
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 2 << 20
 #: The trees are fitted on at most so many documents per language, those with the smallest hashes.
 DOCUMENTS_PER_LANGUAGE = 1500
 UNKNOWN = "und"
@@ -39,8 +39,8 @@ def sample(training: DataFrame, per_language: int = DOCUMENTS_PER_LANGUAGE) -> D
     rows = training.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     rows = rows.select("lang", "text", F.xxhash64("doc_id", "text").alias("_hash"))
     # hashes are spread evenly, so a threshold by count leaves few more than wanted before the ranking
-    sizes = rows.groupBy("lang").count()
-    near = rows.join(F.broadcast(sizes.withColumnRenamed("lang", "_lang")), F.col("lang") == F.col("_lang"))
+    sizes = rows.groupBy(F.col("lang").alias("_lang")).count()
+    near = rows.join(sizes, F.col("lang") == F.col("_lang"))  # small enough to be broadcast, or else skew is split
     share = (F.col("_hash") / float(1 << 64)) + 0.5
     near = near.where(share * F.col("count") < 2.0 * per_language + 20)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("_hash", "text"))
@@ -113,12 +113,13 @@ def code_lengths(grams: np.ndarray, model: dict) -> np.ndarray:
 
 def _prepared(model: dict) -> dict:
     """Lookups for a model; unknown grams and contexts read the last row: not found, no escape."""
+    levels = []
     for level in model["levels"]:
-        level["lookup"], level["context_lookup"] = kernels.Lookup(level["grams"], 16), kernels.Lookup(level["contexts"], 16)
-        width = len(model["names"])
-        level["found"] = np.concatenate([level["found"][level["lookup"].order], np.full((1, width), np.inf, np.float32)])
-        level["escape"] = np.concatenate([level["escape"][level["context_lookup"].order], np.zeros((1, width), np.float32)])
-    return model
+        grams, found = kernels.in_order(level["grams"], level["found"])
+        contexts, escape = kernels.in_order(level["contexts"], level["escape"])
+        found[-1] = np.inf
+        levels.append({"lookup": kernels.Lookup(grams, 16), "found": found, "context_lookup": kernels.Lookup(contexts, 16), "escape": escape})
+    return {"names": model["names"], "levels": levels}
 
 
 def predictor(spark, training: DataFrame, per_language: int = DOCUMENTS_PER_LANGUAGE):
