@@ -141,7 +141,8 @@ def _json_key(json: Column) -> Column:
     keys = F.json_object_keys(json)
 
     def paths(key: Column) -> Column:
-        inner = F.json_object_keys(F.get_json_object(json, F.concat(F.lit("$['"), key, F.lit("'][0]"))))
+        first = F.call_function("get_json_object", json, F.concat(F.lit("$['"), key, F.lit("'][0]")))
+        inner = F.json_object_keys(first)
         return F.when(inner.isNull(), F.array(key)).otherwise(F.transform(inner, lambda leaf: F.concat(key, F.lit("[]."), leaf)))
 
     joined = F.array_join(F.array_sort(F.flatten(F.transform(keys, paths))), "\n")
