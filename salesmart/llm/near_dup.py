@@ -2,7 +2,8 @@
 
 1. Shingles of five words weigh tf x idf. Document frequencies are counted for all documents in ``COUNTERS``
    hashed counters; idf = ln(N / df), at most ln(RARE), so only counters of at least N / RARE
-   matter and a fixed table holds them. Rare shingles weigh alike, widely shared passages little.
+   matter and a fixed table holds them. Rare shingles weigh alike, widely shared passages down to a
+   ``CONTRAST``-th of them: no less, or else the members of a very large group would look different.
 2. Every text gets ``BANDS`` x ``ROWS`` consistent weighted samples; texts that agree on a band meet in a bucket.
 3. A bucket's texts are compared by samples with its pivots: a text joins the family of every pivot at an
    estimated similarity of ``JOINS`` or more, and becomes a pivot below ``PIVOT``. Since 1 - similarity is a
@@ -30,11 +31,12 @@ SIMILAR = 0.8
 BANDS, ROWS = 16, 4
 PIVOT, JOINS = 0.55, 0.3
 RARE = 200
+CONTRAST = 4.0
 COUNTERS = 1 << 20
 SLICE = 1 << 16
-BLOCK = 800
+BLOCK = 400
 HOT_BUCKET = 50_000
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 _DRAWS = 1 << 16
 
 
@@ -123,10 +125,11 @@ class Weights:
         counts = scratch.table(frequencies(documents), "frequencies")
         n = documents.count()
         frequent = counts.where(F.col("df") * RARE >= n).toArrow()
-        table = np.full(COUNTERS, math.log(RARE), np.float32)
+        most = math.log(min(RARE, n + 1) + 1)
+        table = np.full(COUNTERS, most, np.float32)
         if n:
             df = frequent.column("df").to_numpy()
-            table[frequent.column("counter").to_numpy()] = np.maximum(np.log(n / np.minimum(df, n)), 0.05)
+            table[frequent.column("counter").to_numpy()] = np.clip(np.log(n / np.minimum(df, n)), most / CONTRAST, most)
         self.shipped = spark.sparkContext.broadcast(table)
 
     def of(self, hashes: np.ndarray, times: np.ndarray) -> np.ndarray:
@@ -275,21 +278,21 @@ def classes(documents: DataFrame, scratch: Scratch, similar: float = SIMILAR) ->
     met = met.join(sketches.select("text_key", "samples"), "text_key").repartition("bucket", "_salt").sortWithinPartitions("bucket", "_salt", "text_key")
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, pivots, matrix = None, [], None
+        current, pivots, matrix, forest = None, [], None, _Forest()
         for batch in batches:
             found = []
             places = zip(batch.column("bucket").to_pylist(), batch.column("_salt").to_pylist())
             for place, key, drawn in zip(places, batch.column("text_key").to_pylist(), batch.column("samples").to_pylist()):
                 own = np.frombuffer(drawn, np.uint16)
                 if place != current:
-                    current, pivots, matrix = place, [key], own[None, :]
+                    current, pivots, matrix, forest = place, [key], own[None, :], _Forest()
                     continue
                 alike = (matrix == own).mean(axis=1)
-                found += [(key, pivots[i]) for i in np.flatnonzero(alike >= JOINS)]
+                # only what connects new parts of the bucket: fewer edges than texts
+                found += [(key, pivots[i]) for i in np.flatnonzero(alike >= JOINS) if forest.join(key, pivots[i])]
                 if alike.max() < PIVOT:
                     pivots.append(key)
                     matrix = np.concatenate([matrix, own[None, :]])
-            found = list(dict.fromkeys(found))
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.binary()), pa.array([x[1] for x in found], pa.binary())], names=["a", "b"])
 
     candidates = met.select("bucket", "_salt", "text_key", "samples").mapInArrow(gather, "a binary, b binary")
@@ -299,9 +302,11 @@ def classes(documents: DataFrame, scratch: Scratch, similar: float = SIMILAR) ->
     blocks = F.ceil(F.col("_members") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     chosen = families.join(sizes, "component").select("component", F.col("node").alias("text_key"), own.alias("_block"), blocks.alias("_blocks"))
-    chosen = scratch.table(chosen.join(keepers, "text_key"), "chosen")
-    texts = rows.join(F.broadcast(chosen) if is_small(chosen) else chosen, ["text_key"])
-    texts = texts.where(rows["doc_id"].eqNullSafe(chosen["doc_id"])).select("text_key", "text", "component", "_block", "_blocks")
+    # one row of each text, found by id as well, so that copies of one text are not shuffled together
+    known = F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long"))
+    chosen = scratch.table(chosen.join(keepers, "text_key").withColumn("_id", known).drop("doc_id"), "chosen")
+    texts = rows.withColumn("_id", known).join(F.broadcast(chosen) if is_small(chosen) else chosen, ["text_key", "_id"])
+    texts = texts.select("text_key", "text", "component", "_block", "_blocks")
     pairs = F.transform(F.sequence(F.lit(0), F.col("_blocks") - 1), lambda b: F.struct(F.least(b, F.col("_block")).alias("i"), F.greatest(b, F.col("_block")).alias("j")))
     meetings = texts.withColumn("_pair", F.explode(pairs)).select("component", "_pair.i", "_pair.j", "_block", "text_key", "text")
     meetings = meetings.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "text_key")
