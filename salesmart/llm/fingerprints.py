@@ -85,12 +85,11 @@ def _sketch(text: Column, found: Column) -> Column:
     return F.when(F.char_length(text) < K, whole_hash(text)).otherwise(smallest(F.array_compact(found)))
 
 
-def with_next(rows: DataFrame, carried: list[str]) -> DataFrame:
-    """Add the ``carried`` columns of the next row by descending doc_id (after the last: the first).
+def with_guards(rows: DataFrame) -> DataFrame:
+    """Deal (doc_id, text, ...) rows to ranges of doc_id, so that no window has to hold the whole table.
 
-    Rows are dealt to ranges of doc_id, so no window holds the whole table. A range's last row needs
-    the first of the next range: those rows, one per range, are found by id and appended to the range
-    before as guards, then left out again. Equal and null ids (null last) follow by hash of the text.
+    A range's last row needs the first of the next range: those rows, one per range, are found by id and
+    appended to the range before as guards. Adds ``_range``, ``_tie`` and ``_guard``.
     """
     spark = rows.sparkSession
     ranges = RANGES * int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -104,19 +103,25 @@ def with_next(rows: DataFrame, carried: list[str]) -> DataFrame:
     bucket = F.when(F.col("doc_id").isNull(), len(bounds) + 1).otherwise(below).cast("int")
     order = F.struct(F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long")).alias("doc_id"), "_tie")
     heads = ids.withColumn("_range", bucket).groupBy("_range").agg(F.max(order).alias("head")).orderBy("_range").collect()  # one row per range
-    follows = {row["_range"]: heads[(i + 1) % len(heads)]["head"] for i, row in enumerate(heads)}
     rows = rows.withColumn("_range", bucket)
-    if heads:
-        wanted = [(before, head["_tie"], None if head["doc_id"] == -(1 << 63) else head["doc_id"]) for before, head in follows.items()]
-        guards = spark.createDataFrame(wanted, "_before int, _head_tie long, _head_id long")
-        found = rows.join(F.broadcast(guards), F.col("doc_id").eqNullSafe(F.col("_head_id")) & (F.col("_tie") == F.col("_head_tie")))
-        # rows that repeat id and text are the same row here
-        found = found.dropDuplicates(["_before"]).withColumn("_range", F.col("_before")).drop("_before", "_head_tie", "_head_id")
-        rows = rows.withColumn("_guard", F.lit(0)).unionByName(found.withColumn("_guard", F.lit(1)))
-    else:
-        rows = rows.withColumn("_guard", F.lit(0))
+    if not heads:
+        return rows.withColumn("_guard", F.lit(0))
+    follows = [(row["_range"], heads[(i + 1) % len(heads)]["head"]) for i, row in enumerate(heads)]
+    wanted = [(before, head["_tie"], None if head["doc_id"] == -(1 << 63) else head["doc_id"]) for before, head in follows]
+    guards = spark.createDataFrame(wanted, "_before int, _head_tie long, _head_id long")
+    found = rows.join(F.broadcast(guards), F.col("doc_id").eqNullSafe(F.col("_head_id")) & (F.col("_tie") == F.col("_head_tie")))
+    # rows that repeat id and text are the same row here
+    found = found.dropDuplicates(["_before"]).withColumn("_range", F.col("_before")).drop("_before", "_head_tie", "_head_id")
+    return rows.withColumn("_guard", F.lit(0)).unionByName(found.withColumn("_guard", F.lit(1)))
+
+
+def with_next(guarded: DataFrame, carried: list[str]) -> DataFrame:
+    """Add the ``carried`` columns of the next row by descending doc_id (after the last: the first).
+
+    Equal and null ids (null last) follow each other by hash of the text. Guards are left out again.
+    """
     after = Window.partitionBy("_range").orderBy("_guard", F.desc_nulls_last("doc_id"), F.desc("_tie"))
-    rows = rows.withColumns({f"next_{name}": F.lead(name).over(after) for name in carried})
+    rows = guarded.withColumns({f"next_{name}": F.lead(name).over(after) for name in carried})
     return rows.where("_guard = 0").drop("_guard", "_range", "_tie")
 
 
@@ -131,7 +136,7 @@ def edited_fingerprints(documents: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     n = F.char_length(text)
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), n.cast("int").alias("_n"))
-    rows = rows.withColumn("_cut", F.floor(F.col("_n") / 3).cast("int"))
+    rows = with_guards(rows.withColumn("_cut", F.floor(F.col("_n") / 3).cast("int")))
     stays = F.col("_n") - F.col("_cut")
 
     def both(found: Column) -> Column:
@@ -142,7 +147,7 @@ def edited_fingerprints(documents: DataFrame) -> DataFrame:
         )
 
     rows = rows.withColumn("_sketches", _let(anchors(F.col("text")), both))
-    rows = rows.select("doc_id", "text", "_n", "_cut", F.col("_sketches.own").alias("own"), F.col("_sketches.kept").alias("kept"))
+    rows = rows.select("doc_id", "text", "_n", "_cut", "_range", "_tie", "_guard", F.col("_sketches.own").alias("own"), F.col("_sketches.kept").alias("kept"))
     rows = with_next(rows, ["text", "own"])
     head, tail = F.left("text", stays), F.left("next_text", F.col("_cut"))
     rows = rows.withColumn("_head", F.when(F.col("_cut") > 0, head).otherwise(F.col("text"))).withColumn("_tail", F.when(F.col("_cut") > 0, tail).otherwise(""))
