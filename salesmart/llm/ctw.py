@@ -180,7 +180,7 @@ def scored(documents: DataFrame, scratch: Scratch, training: Column, depth: int
     token = scratch.path
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = worker_cache("ctw")
+        cache = worker_cache("ctw", large=True)
         if cache.get("token") != token:
             cache.clear()
             (keys, p, own), (word_keys, word_counts) = shipped.value

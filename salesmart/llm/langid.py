@@ -129,7 +129,7 @@ def predictor(spark, training: DataFrame, per_language: int = DOCUMENTS_PER_LANG
     token = uuid.uuid4().hex
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = worker_cache("langid")
+        cache = worker_cache("langid", large=True)
         if cache.get("token") != token:
             cache.clear()
             cache |= {"token": token, "model": _prepared(shipped.value)}

@@ -26,7 +26,7 @@ from salesmart.storage import Scratch
 SEQUENCE = 2048
 UNIT = 256
 END_ID = 1
-WORDS_KEPT = 300_000
+WORDS_KEPT = 200_000
 
 # Letters and digits up to Latin Extended-A. Texts within this range are split here and their words are
 # looked up; all other texts go through the tokenizer whole.
@@ -60,7 +60,7 @@ def encoder(tokenizer_json: str):
     """A function from text to packed ids, equal to the tokenizer's own on every text."""
     from tokenizers import Tokenizer
 
-    cache = worker_cache(f"words-{zlib.crc32(tokenizer_json.encode())}")
+    cache = worker_cache(f"words-{zlib.crc32(tokenizer_json.encode())}", large=True)
     if not cache:
         tokenizer = Tokenizer.from_str(tokenizer_json)
         tokenizer.encode_special_tokens = True

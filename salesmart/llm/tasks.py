@@ -12,9 +12,16 @@ def ship(module: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
-def worker_cache(name: str) -> dict:
-    """A dictionary that lives as long as the worker process and is shared by its tasks."""
-    return sys.modules["__main__"].__dict__.setdefault("_salesmart_cache", {}).setdefault(name, {})
+def worker_cache(name: str, large: bool = False) -> dict:
+    """A dictionary that lives as long as the worker process and is shared by its tasks.
+
+    Of the ``large`` ones, a worker keeps the last only.
+    """
+    caches = sys.modules["__main__"].__dict__.setdefault("_salesmart_caches", {})
+    if large:
+        for other in [key for key in caches if key[1] and key[0] != name]:
+            del caches[other]
+    return caches.setdefault((name, large), {})
 
 
 ship(__name__)
