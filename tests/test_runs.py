@@ -242,6 +242,8 @@ def test_a_load_reads_no_fact_rows(spark, warehouse, tmp_path):
     """Sales keys come from markers and loaded ids from their own table; a redone load keeps its keys."""
     assert [warehouse.reserve_keys(name, 10) for name in ("a-0", "b-0", "a-0")] == [1, 11, 1]
     assert warehouse.reserve_keys("c-0", 5) == 21
+    warehouse.files.create(warehouse.path(f"markers/keys/{26:020d}"), "")  # its writer died
+    assert warehouse.reserve_keys("d-0", 5) == 26 + 10**12 + 1
     assert "loaded_ids" in warehouse.fact_ids()._jdf.queryExecution().optimizedPlan().toString()
 
 
