@@ -12,6 +12,7 @@ from salesmart.functions import calendar
 from salesmart.operators import dims as dim_ops, load, staging, validate
 from salesmart.operators.dims import Dims
 from salesmart.operators.ids import assign_ids
+from salesmart.plans import quality
 from salesmart.sources.landing import file_name
 from salesmart.storage import Scratch
 
@@ -188,6 +189,11 @@ def validated(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validated rows counted per store file."""
+    return _once(spark, sf_dir, "by_file", lambda _: quality.by_file(validated(spark, sf_dir)))
+
+
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build(scratch: Scratch) -> DataFrame:
         rows, _ = load.run(validated(spark, sf_dir), loaded_before(spark, sf_dir), dims(spark, sf_dir), scratch)

@@ -412,7 +412,7 @@ def _events(spark, sf):
     """A start and an end event per business date; some runs never end and some fail."""
     _, day = landing.parse_file_name(F.col("source_file"))
     per_day = (
-        quality.by_file(fx.validated(spark, sf))
+        fx.by_file(spark, sf)
         .groupBy(day.alias("run_date"))
         .agg(
             F.count("*").cast("smallint").alias("files_processed"),
@@ -474,7 +474,7 @@ def stuck_runs(spark, sf):
 
 @query
 def sla_report(spark, sf):
-    return quality.sla_report(_runs(spark, sf), fx.validated(spark, sf))
+    return quality.sla_report(_runs(spark, sf), fx.by_file(spark, sf))
 
 
 # streaming

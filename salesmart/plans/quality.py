@@ -79,12 +79,11 @@ def stuck_runs(runs: DataFrame, now: Column) -> DataFrame:
     return runs.where((F.col("status") == RUNNING) & (F.col("pipeline_start") < now - F.make_interval(hours=F.lit(1))))
 
 
-def sla_report(runs: DataFrame, validated: DataFrame) -> DataFrame:
-    """One row per run: targets met and alerts raised. Rates are judged per store file, worst one counts."""
+def sla_report(runs: DataFrame, files: DataFrame) -> DataFrame:
+    """One row per run: targets met and alerts raised. Rates are judged per store file (``by_file`` rows), worst one counts."""
     _, day = parse_file_name(F.col("source_file"))
     per_day = (
-        by_file(validated)
-        .withColumn("run_date", day)
+        files.withColumn("run_date", day)
         .groupBy("run_date")
         .agg(
             F.max(_percent("failed", "total_rows")).alias("worst_rejection_pct"),
