@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from salesmart.llm import kernels
-from salesmart.llm.tasks import ship, worker_cache
+from salesmart.llm.tasks import ship, tidy, worker_cache
 from salesmart.storage import Scratch
 
 DEPTH = 4
@@ -53,7 +53,7 @@ def counted(training: DataFrame, depth: int = DEPTH) -> DataFrame:
                 kind = np.repeat(np.array([_GRAM, _WORD], np.int8), [len(distinct), len(words) + 1])
                 yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(keys), pa.array(n)], names=["kind", "key", "n"])
 
-    return training.select("text").mapInArrow(count, "kind byte, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    return training.select("text").mapInArrow(tidy(count), "kind byte, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
 def _log_gamma(x: Column) -> Column:
@@ -216,7 +216,7 @@ def scored(documents: DataFrame, scratch: Scratch, training: Column, depth: int
                 )
 
     schema = "doc_id long, training boolean, n_tokens long, n_listed long, logs double, score double, rare array<long>"
-    texts = scratch.table(rows.mapInArrow(score, schema).withColumn("_row", F.monotonically_increasing_id()), "texts")
+    texts = scratch.table(rows.mapInArrow(tidy(score), schema).withColumn("_row", F.monotonically_increasing_id()), "texts")
     # words that are not in the broadcast table: a word is rare, so no key of this join is hot
     rare = texts.select("_row", F.explode("rare").alias("key")).groupBy("_row", "key").agg(F.count("*").alias("_times"))
     rare = rare.join(words.where(F.col("n") < least), "key", "left") if least > 1 else rare.withColumn("n", F.lit(None).cast("long"))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from salesmart.llm import kernels
-from salesmart.llm.tasks import ship, worker_cache
+from salesmart.llm.tasks import ship, tidy, worker_cache
 
 ORDER = 3
 CHUNK_BYTES = 2 << 20
@@ -61,7 +61,7 @@ def gram_counts(rows: DataFrame, order: int = ORDER) -> DataFrame:
                     n = np.bincount(index, minlength=len(distinct))
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(distinct), pa.string()), pa.array(distinct.view(np.int64)), pa.array(n)], names=["lang", "gram", "n"])
 
-    counts = rows.select("lang", folded(F.col("text")).alias("text")).mapInArrow(count, "lang string, gram long, n long")
+    counts = rows.select("lang", folded(F.col("text")).alias("text")).mapInArrow(tidy(count), "lang string, gram long, n long")
     return counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -160,7 +160,7 @@ def predictor(spark, training: DataFrame, per_language: int = DOCUMENTS_PER_LANG
         asked = rows.select(*carried, folded(text).alias("_folded"), text.rlike(r"\p{L}").alias("_letters"))
         fields = [field for field in rows.schema.fields if field.name != "text"]
         added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-        return asked.mapInArrow(predict, T.StructType([*fields, *added]))
+        return asked.mapInArrow(tidy(predict), T.StructType([*fields, *added]))
 
     return predicted
 

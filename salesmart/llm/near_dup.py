@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from salesmart.llm import graphs, kernels
-from salesmart.llm.tasks import ship, worker_cache
+from salesmart.llm.tasks import ship, tidy, worker_cache
 from salesmart.operators.lookups import is_small
 from salesmart.storage import Scratch
 
@@ -105,10 +105,10 @@ def frequencies(documents: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(at + batch.column("slice")[0].as_py() * SLICE), pa.array(counts[at])], names=["counter", "df"])
 
     schema = "slice int, counts binary"
-    partial = documents.select("text").mapInArrow(count, schema)
+    partial = documents.select("text").mapInArrow(tidy(count), schema)
     # counters of many tasks are added in two steps, slice by slice
-    partial = partial.repartition(64, "slice", F.pmod(F.monotonically_increasing_id(), F.lit(4))).mapInArrow(add, schema)
-    return partial.repartition(COUNTERS // SLICE, "slice").mapInArrow(spread, "counter long, df long")
+    partial = partial.repartition(64, "slice", F.pmod(F.monotonically_increasing_id(), F.lit(4))).mapInArrow(tidy(add), schema)
+    return partial.repartition(COUNTERS // SLICE, "slice").mapInArrow(tidy(spread), "counter long, df long")
 
 
 def _slices(total: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -267,7 +267,7 @@ def classes(documents: DataFrame, scratch: Scratch, similar: float = SIMILAR) ->
                     names=["text_key", "bands", "samples"],
                 )
 
-    sketches = rows.mapInArrow(sketch, "text_key binary, bands array<long>, samples binary")
+    sketches = rows.mapInArrow(tidy(sketch), "text_key binary, bands array<long>, samples binary")
     sketches = scratch.table(sketches.groupBy("text_key").agg(F.first("bands").alias("bands"), F.first("samples").alias("samples")), "sketches")
     placed = sketches.select("text_key", F.explode("bands").alias("bucket"))
     shared = scratch.table(placed.groupBy("bucket").agg(F.count("*").alias("_texts")).where("_texts > 1"), "buckets")
@@ -295,7 +295,7 @@ def classes(documents: DataFrame, scratch: Scratch, similar: float = SIMILAR) ->
                     matrix = np.concatenate([matrix, own[None, :]])
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.binary()), pa.array([x[1] for x in found], pa.binary())], names=["a", "b"])
 
-    candidates = met.select("bucket", "_salt", "text_key", "samples").mapInArrow(gather, "a binary, b binary")
+    candidates = met.select("bucket", "_salt", "text_key", "samples").mapInArrow(tidy(gather), "a binary, b binary")
     families = scratch.table(graphs.components(candidates, scratch), "families")
     sizes = families.groupBy("component").agg(F.count("*").alias("_members"))
     # every pair of blocks of a family meets once: block i with itself and with each later one
@@ -337,7 +337,7 @@ def classes(documents: DataFrame, scratch: Scratch, similar: float = SIMILAR) ->
         if len(held) > 1:
             yield _links(done(current, held))
 
-    links = scratch.table(meetings.mapInArrow(link, "a binary, b binary, similarity double"), "links")
+    links = scratch.table(meetings.mapInArrow(tidy(link), "a binary, b binary, similarity double"), "links")
     named = scratch.table(graphs.components(links.select("a", "b"), scratch), "classes")
     named = members.join(F.broadcast(named) if is_small(named) else named, F.col("text_key") == F.col("node"), "left")
     named = scratch.table(named.select("doc_id", "text_key", "n_rows", F.coalesce("component", "text_key").alias("class_key")), "named")

@@ -19,7 +19,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from salesmart.llm.tasks import ship, worker_cache
+from salesmart.llm import kernels
+from salesmart.llm.tasks import ship, tidy, worker_cache
 from salesmart.operators.lookups import is_small
 from salesmart.storage import Scratch
 
@@ -27,6 +28,7 @@ SEQUENCE = 2048
 UNIT = 256
 END_ID = 1
 WORDS_KEPT = 200_000
+CHUNK_BYTES = 2 << 20
 
 # Letters and digits up to Latin Extended-A. Texts within this range are split here and their words are
 # looked up; all other texts go through the tokenizer whole.
@@ -95,7 +97,7 @@ def tokenized(documents: DataFrame, tokenizer_json: str, unit: int = UNIT) -> Da
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(shipped.value)
         end, step = array("I", [END_ID]).tobytes(), 4 * unit
-        for batch in batches:
+        for batch in (part for whole in batches for part in kernels.chunks(whole, "text", CHUNK_BYTES)):
             sizes, crcs, rests = [], [], []
             for text in batch.column("text").to_pylist():
                 ids = encode(text or "") + end
@@ -109,7 +111,7 @@ def tokenized(documents: DataFrame, tokenizer_json: str, unit: int = UNIT) -> Da
             )
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(tokens, "doc_id long, source string, doc_tokens long, crcs array<long>, rest binary")
+    return rows.mapInArrow(tidy(tokens), "doc_id long, source string, doc_tokens long, crcs array<long>, rest binary")
 
 
 ship(__name__)
