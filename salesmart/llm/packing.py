@@ -27,7 +27,7 @@ from salesmart.storage import Scratch
 SEQUENCE = 2048
 UNIT = 256
 END_ID = 1
-WORDS_KEPT = 200_000
+WORDS_KEPT = 100_000
 CHUNK_BYTES = 2 << 20
 
 # Letters and digits up to Latin Extended-A. Texts within this range are split here and their words are
