@@ -25,7 +25,7 @@ from salesmart.storage import Scratch
 
 DEPTH = 4
 CHUNK_BYTES = 2 << 20
-MOST_NODES = 1 << 21  # 32 MB of broadcast keys, estimates and shares
+MOST_NODES = 1 << 21  # 32 MB of broadcast keys, estimates and shares; all other nodes are joined
 MOST_WORDS = 1 << 20  # 16 MB of broadcast word counts
 END_WORD = -1  # hash value that stands for the end token
 _GRAM, _WORD = 0, 1
@@ -128,27 +128,45 @@ def _node_key(level: np.ndarray | int, context: np.ndarray, node: np.ndarray) ->
     return (context.astype(np.uint64) << np.uint64(12)) | (node.astype(np.uint64) << np.uint64(4)) | np.uint64(level)
 
 
-def _code_lengths(grams: np.ndarray, model: dict, depth: int) -> np.ndarray:
-    """Log10 probability of the last byte of each gram after the bytes before it."""
+def _keys(grams: np.ndarray, depth: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Bit, level and node keys of the eight decisions of each gram's last byte, deepest level first."""
     byte = (grams & np.uint64(255)).astype(np.int64)
     context = grams >> np.uint64(8)
-    total = np.zeros(len(grams))
     for k in range(8):
         node = (1 << k) | (byte >> (8 - k))
-        bit = (byte >> (7 - k)) & 1
-        q = None
         for d in range(depth, -1, -1):
-            at = model["nodes"].find(_node_key(d, context & np.uint64((1 << (8 * d)) - 1), node))
-            p, own = model["p1"][at], model["own"][at]
-            if q is None:
-                q = np.where(at >= 0, p, np.nan)
-            else:
-                # a context that training never saw leaves the decision to the shorter one
-                here = np.where(np.isnan(q), p, own * p + (1 - own) * q)
-                q = np.where(at >= 0, here, np.nan)
-        q = np.where(np.isnan(q), 0.5, q)
-        total += np.log10(np.where(bit == 1, q, 1 - q))
-    return total
+            yield k, d, _node_key(d, context & np.uint64((1 << (8 * d)) - 1), node)
+
+
+def _code_lengths(grams: np.ndarray, model: dict, depth: int, rare: dict | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Log10 probability of the last byte of each gram after the bytes before it, and whether a node was not found.
+
+    ``rare`` holds, by slot (see ``_slot``), the places of grams and the estimates and shares of nodes that
+    ``model`` lacks.
+    """
+    byte = (grams & np.uint64(255)).astype(np.int64)
+    total, short = np.zeros(len(grams)), np.zeros(len(grams), bool)
+    for k, d, keys in _keys(grams, depth):
+        at = model["nodes"].find(keys)
+        p, own, seen = model["p1"][at], model["own"][at], at >= 0
+        if rare is not None and _slot(k, d, depth) in rare:
+            place, rare_p, rare_own = rare[_slot(k, d, depth)]
+            p[place], own[place], seen[place] = rare_p, rare_own, True
+        short |= ~seen
+        if d == depth:
+            q = np.where(seen, p, np.nan)
+        else:
+            # a context that training never saw leaves the decision to the shorter one
+            here = np.where(np.isnan(q), p, own * p + (1 - own) * q)
+            q = np.where(seen, here, np.nan)
+        if d == 0:
+            q = np.where(np.isnan(q), 0.5, q)
+            total += np.log10(np.where((byte >> (7 - k)) & 1 == 1, q, 1 - q))
+    return total, short
+
+
+def _slot(k: int, d: int, depth: int) -> int:
+    return k * (depth + 1) + d
 
 
 def scored(documents: DataFrame, scratch: Scratch, training: Column, depth: int = DEPTH) -> DataFrame:
@@ -158,33 +176,37 @@ def scored(documents: DataFrame, scratch: Scratch, training: Column, depth: int
     Repeated rows count and are scored each. Without training rows the model codes every bit at 1/2 and
     the base sees no known token. An empty table gives no rows.
 
-    Counts cover all training rows. The model keeps its MOST_NODES most frequent nodes (a dropped node leaves the
-    decision to the next shorter context). Counts of the MOST_WORDS most frequent words are broadcast;
-    all others reach their documents by a join, so the base is exact.
+    Counts cover all training rows, and every node plays its part: the MOST_NODES most frequent ones are broadcast,
+    and grams that need another one are coded once each, after a join with all other nodes. Likewise counts of the
+    MOST_WORDS most frequent words are broadcast and all others reach their documents by a join.
     """
     spark = documents.sparkSession
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), training.alias("_training"))
     counts = scratch.table(counted(rows.where("_training"), depth), "counts")
     nodes = node_table(counts.where(F.col("kind") == _GRAM), scratch, depth)
     nodes = scratch.table(nodes, "nodes")
-    nodes = nodes.where(F.col("n") >= _least_count(nodes, MOST_NODES))
+    least_node = _least_count(nodes, MOST_NODES)
     words = counts.where(F.col("kind") == _WORD).select("key", "n")
     size = words.agg(F.sum("n").alias("tokens"), F.count("*").alias("distinct")).first()
     tokens, distinct = size["tokens"] or 0, size["distinct"]
     least = max(1, _least_count(words, MOST_WORDS))
 
     key = F.shiftleft("context", 12).bitwiseOR(F.shiftleft(F.col("node").cast("long"), 4)).bitwiseOR(F.col("level").cast("long"))
-    nodes = nodes.select(key.alias("key"), F.col("p1").cast("float").alias("p1"), F.col("own").cast("float").alias("own"))
-    nodes = kernels.in_order(*_arrays(nodes, "key", "p1", "own"))
-    shipped = spark.sparkContext.broadcast((nodes, kernels.in_order(*_arrays(words.where(F.col("n") >= least), "key", "n"))))
+    nodes = nodes.select(key.alias("key"), "n", F.col("p1").cast("float").alias("p1"), F.col("own").cast("float").alias("own"))
+    hot = kernels.in_order(*_arrays(nodes.where(F.col("n") >= least_node), "key", "p1", "own"))
+    shipped = spark.sparkContext.broadcast((hot, kernels.in_order(*_arrays(words.where(F.col("n") >= least), "key", "n"))))
     token = scratch.path
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def loaded() -> dict:
         cache = worker_cache("ctw", large=True)
         if cache.get("token") != token:
             cache.clear()
             (keys, p, own), (word_keys, word_counts) = shipped.value
             cache |= {"token": token, "nodes": kernels.Lookup(keys), "p1": p, "own": own, "words": kernels.Lookup(word_keys), "counts": word_counts}
+        return cache
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = loaded()
         for batch in batches:
             for part in kernels.chunks(batch, "text", CHUNK_BYTES):
                 buffer, starts, ends = kernels.joined(part.column("text"), depth)
@@ -193,7 +215,11 @@ def scored(documents: DataFrame, scratch: Scratch, training: Column, depth: int
                     inside[starts - lead] = False
                 places = np.flatnonzero(inside)
                 distinct_grams, index = kernels.grams(buffer, places, depth + 1)
-                bits = _code_lengths(distinct_grams, cache, depth)[index]
+                bits, short = _code_lengths(distinct_grams, cache, depth)
+                later = (short & (least_node > 0))[index]  # without other nodes, what is not found does not exist
+                bits = np.where(later, 0.0, bits[index])
+                by_text = kernels.by_text(places, starts)
+                later_before = np.concatenate([[0], np.cumsum(later)])[by_text]
                 begin, hashes = kernels.words(buffer)
                 unique, which = np.unique(hashes, return_inverse=True)
                 at = cache["words"].find(unique)
@@ -209,13 +235,40 @@ def scored(documents: DataFrame, scratch: Scratch, training: Column, depth: int
                         pa.array(np.diff(offsets) + 1),
                         pa.array(kernels.sums_by(listed, offsets).astype(np.int64)),
                         pa.array(kernels.sums_by(logs, offsets)),
-                        pa.array(kernels.sums_by(bits, kernels.by_text(places, starts))),
+                        pa.array(kernels.sums_by(bits, by_text)),
                         pa.ListArray.from_arrays(pa.array(rare_before, pa.int32()), pa.array(hashes[~listed].view(np.int64))),
+                        pa.ListArray.from_arrays(pa.array(later_before, pa.int32()), pa.array(distinct_grams[index[later]].view(np.int64))),
                     ],
-                    names=["doc_id", "training", "n_tokens", "n_listed", "logs", "score", "rare"],
+                    names=["doc_id", "training", "n_tokens", "n_listed", "logs", "score", "rare", "later"],
                 )
 
-    schema = "doc_id long, training boolean, n_tokens long, n_listed long, logs double, score double, rare array<long>"
+    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = loaded()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1 << 14):
+                column = batch.column("gram").slice(at, 1 << 14)
+                grams = column.to_numpy().view(np.uint64)
+                for k, d, keys in _keys(grams, depth):
+                    missing = np.flatnonzero(cache["nodes"].find(keys) < 0)
+                    if len(missing):
+                        slots = np.full(len(missing), _slot(k, d, depth), np.int32)
+                        yield pa.RecordBatch.from_arrays([column.take(pa.array(missing)), pa.array(slots), pa.array(keys[missing].view(np.int64))], names=["gram", "slot", "key"])
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = loaded()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1 << 14):
+                part = batch.slice(at, 1 << 14)
+                lists, rare = part.column("nodes"), {}
+                place = np.repeat(np.arange(part.num_rows), lists.value_lengths().to_numpy())
+                slots, p, own = (x.to_numpy(zero_copy_only=False) for x in lists.flatten().flatten())
+                for slot in np.unique(slots):
+                    here = slots == slot
+                    rare[int(slot)] = place[here], p[here], own[here]
+                bits, _ = _code_lengths(part.column("gram").to_numpy().view(np.uint64), cache, depth, rare)
+                yield pa.RecordBatch.from_arrays([part.column("gram"), pa.array(bits)], names=["gram", "bits"])
+
+    schema = "doc_id long, training boolean, n_tokens long, n_listed long, logs double, score double, rare array<long>, later array<long>"
     texts = scratch.table(rows.mapInArrow(tidy(score), schema).withColumn("_row", F.monotonically_increasing_id()), "texts")
     # words that are not in the broadcast table: a word is rare, so no key of this join is hot
     rare = texts.select("_row", F.explode("rare").alias("key")).groupBy("_row", "key").agg(F.count("*").alias("_times"))
@@ -224,11 +277,23 @@ def scored(documents: DataFrame, scratch: Scratch, training: Column, depth: int
     rare = rare.groupBy("_row").agg(
         F.sum(F.col("_times") * F.log10(n + 0.1)).alias("_logs"), F.sum(F.when(n > 0, F.col("_times")).otherwise(0)).alias("_known")
     )
+    if least_node:
+        # nodes that are not in the broadcast table: each distinct gram asks once for each, and all its texts get the result
+        later = scratch.table(texts.select("_row", F.explode("later").alias("gram")).groupBy("_row", "gram").agg(F.count("*").alias("_times")), "later")
+        grams = scratch.table(later.select("gram").distinct(), "grams")
+        others = nodes.where(F.col("n") < least_node).select("key", "p1", "own")
+        found = grams.mapInArrow(tidy(wanted), "gram long, slot int, key long").join(others, "key")
+        found = found.groupBy("gram").agg(F.collect_list(F.struct("slot", "p1", "own")).alias("nodes"))  # at most 8 * (depth + 1)
+        none = F.array().cast("array<struct<slot:int,p1:float,own:float>>")
+        coded = grams.join(found, "gram", "left").select("gram", F.coalesce("nodes", none).alias("nodes"))
+        coded = scratch.table(coded.mapInArrow(tidy(finish), "gram long, bits double"), "coded")
+        given = later.join(coded, "gram").groupBy("_row").agg(F.sum(F.col("_times") * F.col("bits")).alias("_bits"))
+        texts = texts.join(given, "_row", "left").withColumn("score", F.col("score") + F.coalesce("_bits", F.lit(0.0))).drop("_bits")
     ends = words.where(F.col("key") == END_WORD).agg(F.max("n")).first()[0] or 0  # training texts
     scale = math.log10(tokens + 0.1 * (distinct + 1))
     logs = F.col("logs") + F.coalesce("_logs", F.lit(0.0)) + math.log10(ends + 0.1)
     known = F.col("n_listed") + F.coalesce("_known", F.lit(0)) + (1 if ends else 0)
-    return texts.drop("rare").join(rare, "_row", "left").select(
+    return texts.drop("rare", "later").join(rare, "_row", "left").select(
         "doc_id", (~F.col("training")).alias("held_out"), "n_tokens", known.cast("long").alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"), (logs - F.col("n_tokens") * scale).alias("base_score"), "score",
     )

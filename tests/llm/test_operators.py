@@ -304,6 +304,16 @@ def test_context_trees_equal_brute_force(spark, scratch, monkeypatch):
         assert math.isclose(row.score, score(lower(text or "").encode()), rel_tol=1e-4, abs_tol=1e-4)
 
 
+@pytest.mark.parametrize("most", [1, 40, 400])
+def test_nodes_beyond_the_broadcast_count(spark, scratch, monkeypatch, most):
+    monkeypatch.setattr(ctw, "MOST_NODES", most)
+    made = {i: t for i, t in enumerate(["The cat sat on the mat", "the CAT ran", "é ü\tthe end", "", None, "the cat sat on the hat zzz", "on on on on", "never seen qqq"])}
+    got = rows_of(ctw.scored(docs(spark, made.items()), scratch, F.col("doc_id") < 5))
+    score = brute_ctw([lower(made[i] or "").encode() for i in range(5)], ctw.DEPTH)
+    for i, text in made.items():
+        assert math.isclose(got[i].score, score(lower(text or "").encode()), rel_tol=1e-4, abs_tol=1e-4)
+
+
 def test_model_is_better_than_bytes_by_chance(spark):
     rows = queries.op5_context_tree(spark, SMALL).where("held_out").collect()
     texts = {row.doc_id: row.text or "" for row in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
