@@ -507,6 +507,33 @@ def test_expectation_maximisation_finds_planted_rules():
     assert all(model[name, -1][0] <= 0.002 and model[name, -1][j + 1] >= 0.9 for j, name in enumerate(quality.RULES))
 
 
+def drawn_patterns(number, errors, bad_share=0.0, hits=None):
+    rng = np.random.default_rng(7)
+    votes = np.where(rng.random((number, len(errors))) < errors, -1, 1)
+    bad = rng.random(number) < bad_share
+    if hits is not None:
+        votes[bad] = np.where(rng.random((bad.sum(), len(errors))) < hits, -1, 1)
+    distinct, counts = np.unique(votes, axis=0, return_counts=True)
+    return [(tuple(map(int, pattern)), int(n)) for pattern, n in zip(distinct, counts)]
+
+
+@pytest.mark.parametrize("number", [20_000, 500_000])
+def test_one_error_among_good_votes_is_no_verdict(spark, number):
+    model = quality.fit(drawn_patterns(number, np.array([0.001, 0.002, 0.005, 0.01, 0.02, 0.03, 0.05])))
+    one = [tuple(-1 if i == j else 1 for i in range(len(quality.RULES))) for j in range(len(quality.RULES))]
+    made = spark.createDataFrame(one, [f"_vote_{name}" for name in quality.RULES])
+    assert all(row[0] > 0.5 for row in made.select(quality.posterior_good(model)).collect())
+
+
+@pytest.mark.parametrize("number", [20_000, 500_000])
+def test_planted_rates_are_found(number):
+    errors, hits = np.array([0.01, 0.02, 0.03, 0.05, 0.1, 0.02, 0.01]), np.array([0.8, 0.7, 0.6, 0.75, 0.9, 0.5, 0.85])
+    model = quality.fit(drawn_patterns(number, errors, 0.2, hits))
+    assert abs(model["share"][-1] - 0.2) < 0.02
+    for j, name in enumerate(quality.RULES):
+        assert abs(model[name, -1][0] - errors[j]) < 0.01 and abs(model[name, -1][-1] - hits[j]) < 0.05
+
+
 # 10 sharding
 
 
