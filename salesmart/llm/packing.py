@@ -1,11 +1,12 @@
 """Packing token sequences by deficit round-robin over source queues.
 
-Every source is a queue of its documents' tokens, served in units of ``UNIT`` tokens. The j-th unit of a
-source is due at (j + 1/2) / share, the moment at which the source has been owed half of it; serving
-all units in the order in which they are due is deficit round-robin with every deficit carried over, and it needs
-no running state: the due times alone give each unit its place, whatever the partitions. A sequence
-holds a whole number of units. What is left of each document, fewer than ``UNIT`` tokens, follows in the same
-manner and is cut where a sequence ends, so only the last sequence of all has padding.
+Every source is a queue of its documents' tokens, served in blocks of ``UNIT`` tokens: whole units of a document, and
+blocks joined from what is left of its documents, fewer than ``UNIT`` tokens each, spread evenly among them. The j-th block of
+a source is due at (j + 1/2) / share, the moment at which the source has been owed half of it; serving
+all blocks in the order in which they are due is deficit round-robin with every deficit carried over, and it needs
+no running state: the due times alone give each block its place, whatever the partitions. The last tokens of a
+source, fewer than a block, are due likewise and share blocks with those of other sources. A sequence
+holds a whole number of blocks, so only the last sequence of all has padding.
 """
 
 from __future__ import annotations
@@ -160,45 +161,61 @@ def pack(
     docs = scratch.table(tokenized(documents, tokenizer_json, unit).withColumn("_row", F.monotonically_increasing_id()), "tokens")
     docs = docs.select("*", F.size("crcs").cast("long").alias("units"), (F.octet_length("rest") / 4).cast("long").alias("left"))
     queued = running(docs, ["source"], ["doc_id", "_row"], {"first_unit": F.col("units"), "first_left": F.col("left")}, scratch, "queues")
-    totals = scratch.table(docs.groupBy("source").agg(F.sum("units").alias("_units"), F.sum("left").alias("_left")), "totals")
+    share = F.lit(1.0)
+    for source, value in (shares or {}).items():
+        share = F.when(F.col("source").eqNullSafe(F.lit(source)), float(value)).otherwise(share)
     key = lambda name: F.coalesce(F.concat(F.lit("="), F.col(name)), F.lit(""))
-    totals = totals.select(key("source").alias("_source"), "_units", "_left")
-    totals = F.broadcast(totals) if is_small(totals) else totals
-    queued = queued.withColumn("_source", key("source")).join(totals, "_source")
-    if shares is None:
-        unit_share, left_share = F.col("_units"), F.col("_left")
-    else:
-        share = F.lit(1.0)
-        for source, value in shares.items():
-            share = F.when(F.col("source").eqNullSafe(F.lit(source)), float(value)).otherwise(share)
-        unit_share = left_share = share
-
-    units = queued.select("doc_id", "source", "_row", "doc_tokens", "first_unit", unit_share.alias("_share"), F.posexplode("crcs").alias("_k", "ids_crc32"))
-    units = units.select(
-        "doc_id", "source", "_row", "doc_tokens", (F.col("_k") * unit).cast("long").alias("start"), "ids_crc32",
-        ((F.col("first_unit") + F.col("_k") + 0.5) / F.col("_share")).alias("_due"),
-    )
-    units = running(units, [], ["_due", "source", "_row", "start"], {"_rank": F.lit(1).cast("long")}, scratch, "units")
-    per = sequence // unit
-    whole = units.select(
-        "doc_id", "start", F.lit(unit).cast("long").alias("length"), "ids_crc32", "doc_tokens",
-        F.floor(F.col("_rank") / per).alias("sequence_id"), (F.pmod("_rank", F.lit(per)) * unit).alias("offset"), "source",
+    totals = docs.groupBy("source").agg(F.sum("units").alias("_units"), F.sum("left").alias("_left"))
+    totals = totals.select(
+        key("source").alias("_source"), "_units", F.floor(F.col("_left") / unit).alias("_rests"), F.pmod("_left", F.lit(unit)).alias("_tail"),
+        (F.col("_units") * unit + F.col("_left") if shares is None else share).cast("double").alias("_share"),
     )
+    totals = scratch.table(totals, "totals")
+    # the last tokens of all sources in the order in which they are due, joined to blocks, too
+    due = ((F.col("_units") + F.col("_rests")) * unit + F.col("_tail") / 2) / F.col("_share")
+    tails = running(totals.select("_source", "_tail", due.alias("_tail_due")), [], ["_tail_due", "_source"], {"_tail_at": F.col("_tail")}, scratch, "tails")
+    tails = scratch.table(tails.select("_source", "_tail_at", "_tail_due", "_tail"), "tail-places")
+    all_tails = tails.agg(F.sum("_tail")).first()[0] or 0
+    parts = F.explode(F.sequence(F.floor(F.col("_tail_at") / unit), F.floor((F.col("_tail_at") + F.col("_tail") - 1) / unit)))
+    mixed = scratch.table(tails.where("_tail > 0").select(parts.alias("_number"), "_tail_due").groupBy("_number").agg(F.min("_tail_due").alias("_block_due")), "mixed")
+    totals = totals.join(tails.select("_source", "_tail_at"), "_source")
+    totals = F.broadcast(totals) if is_small(tails) else totals
+    queued = queued.withColumn("_source", key("source")).join(totals, "_source")
 
-    total_units = docs.agg(F.sum("units")).first()[0] or 0
-    rest = queued.where("left > 0").select(
-        "doc_id", "source", "_row", "doc_tokens", "left", "rest", ((F.col("first_left") + F.col("left") / 2) / left_share).alias("_due")
-    )
-    rest = running(rest, [], ["_due", "source", "_row"], {"_place": F.col("left")}, scratch, "rest")
-    place = F.col("_place") + F.lit(total_units * unit).cast("long")
-    rest = rest.withColumn("_from", place).withColumn("_to", place + F.col("left"))
-    rest = rest.withColumn("_sequence", F.explode(F.sequence(F.floor(F.col("_from") / sequence), F.floor((F.col("_to") - 1) / sequence))))
-    begin = F.greatest("_from", F.col("_sequence") * sequence)
-    length = F.least("_to", (F.col("_sequence") + 1) * sequence) - begin
-    skip = begin - F.col("_from")
-    ids = F.substring("rest", (skip * 4 + 1).cast("int"), (length * 4).cast("int"))
-    ends = rest.select(
-        "doc_id", (F.col("doc_tokens") - F.col("left") + skip).alias("start"), length.alias("length"), F.crc32(ids).alias("ids_crc32"),
-        "doc_tokens", F.col("_sequence").alias("sequence_id"), (begin - F.col("_sequence") * sequence).alias("offset"), "source",
+    # places of units (kind 0) and of joined blocks (kind 1) in one queue, merged evenly; exact in whole numbers
+    wide = lambda x: f"CAST({x} AS DECIMAL(19, 0))"
+    rests_before = F.expr(f"CASE WHEN _units = 0 THEN 0L ELSE ((2 * {wide('_number')} + 1) * {wide('_rests')} + _units - 1) DIV (2 * {wide('_units')}) END")
+    units_before = F.expr(f"CASE WHEN _rests = 0 THEN _units ELSE ((2 * {wide('_number')} + 1) * {wide('_units')} + _rests) DIV (2 * {wide('_rests')}) END")
+    when = lambda before: (F.col("_number") + before + 0.5) * unit / F.col("_share")
+    names = ["doc_id", "source", "_row", "doc_tokens", "start", "length", "ids_crc32", "_due", "_kind", "_source", "_number", "_in"]
+    units = queued.select("doc_id", "source", "_row", "doc_tokens", "_source", "first_unit", "_units", "_rests", "_share", F.posexplode("crcs").alias("_k", "ids_crc32"))
+    units = units.withColumn("_number", F.col("first_unit") + F.col("_k")).withColumns({
+        "start": (F.col("_k") * unit).cast("long"), "length": F.lit(unit).cast("long"), "_due": when(rests_before), "_kind": F.lit(0), "_in": F.lit(0).cast("long"),
+    }).select(*names)
+
+    def cut(rows: DataFrame) -> DataFrame:
+        """Pieces of rests (_from to _to, ``rest`` from _skip on) in blocks of ``unit``: _number, _in, start, length, ids_crc32."""
+        rows = rows.withColumn("_number", F.explode(F.sequence(F.floor(F.col("_from") / unit), F.floor((F.col("_to") - 1) / unit))))
+        begin = F.greatest("_from", F.col("_number") * unit)
+        rows = rows.withColumn("_begin", begin).withColumn("length", F.least("_to", (F.col("_number") + 1) * unit) - F.col("_begin"))
+        skip = F.col("_skip") + F.col("_begin") - F.col("_from")
+        ids = F.substring("rest", (skip * 4 + 1).cast("int"), (F.col("length") * 4).cast("int"))
+        return rows.withColumns({"_in": F.col("_begin") - F.col("_number") * unit, "start": F.col("doc_tokens") - F.col("left") + skip, "ids_crc32": F.crc32(ids)})
+
+    rest = queued.where("left > 0").withColumn("_end", F.col("first_left") + F.col("left")).withColumn("_whole", F.col("_rests") * unit)
+    inside = rest.where("first_left < _whole").withColumns({"_from": F.col("first_left"), "_to": F.least("_end", "_whole"), "_skip": F.lit(0).cast("long")})
+    inside = cut(inside).withColumns({"_due": when(units_before), "_kind": F.lit(1)}).select(*names)
+    last = rest.where("_end > _whole").withColumn("_first", F.greatest("first_left", "_whole"))
+    shift = F.col("_tail_at") - F.col("_whole")
+    last = cut(last.withColumns({"_from": F.col("_first") + shift, "_to": F.col("_end") + shift, "_skip": F.col("_first") - F.col("first_left")}))
+    last = last.join(F.broadcast(mixed) if is_small(mixed) else mixed, "_number")
+    # the very last block may be short and follows all others
+    full = (F.col("_number") + 1) * unit <= all_tails
+    last = last.withColumns({"_due": F.when(full, F.col("_block_due")).otherwise(float("inf")), "_kind": F.lit(2), "_source": F.lit("")}).select(*names)
+
+    pieces = units.unionByName(inside).unionByName(last)
+    pieces = running(pieces, [], ["_due", "_kind", "_source", "_number", "_in"], {"_place": F.col("length")}, scratch, "pieces")
+    return pieces.select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens",
+        F.floor(F.col("_place") / sequence).alias("sequence_id"), F.pmod("_place", F.lit(sequence)).alias("offset"), "source",
     )
-    return whole.unionByName(ends)

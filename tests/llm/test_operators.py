@@ -370,6 +370,24 @@ def test_windows_hold_the_wanted_shares(spark, scratch):
     assert len(full) > 20 and all(abs(h["a"] / 512 - 0.75) <= 0.13 for h in full)
 
 
+@pytest.mark.parametrize("shares", [None, {"short": 1.0, "long": 2.0}])
+def test_short_documents_get_their_share_of_every_window(spark, scratch, shares):
+    # 200 documents of 51 tokens against 20 of 1,021: a third of all tokens; and a few sources of less than a block
+    made = [(i, "short", "word " * 50) for i in range(200)] + [(1000 + i, "long", "word " * 1020) for i in range(20)]
+    made += [(2000 + i, f"tiny{i}", "word " * 20) for i in range(7)] + [(3000, None, "word")]
+    frame = spark.createDataFrame(made, "doc_id long, source string, text string")
+    rows = packing.pack(frame, queries.tokenizer_json(), scratch, shares, sequence=512, unit=64).collect()
+    held, at, lengths = defaultdict(Counter), defaultdict(int), Counter()
+    for row in sorted(rows, key=lambda row: (row.sequence_id, row.offset)):
+        assert row.offset == at[row.sequence_id]
+        at[row.sequence_id] += row.length
+        held[row.sequence_id][row.source] += row.length
+        lengths[row.doc_id] += row.length
+    assert sorted(held) == list(range(len(held))) and all(n == 512 for s, n in at.items() if s < max(at))
+    assert lengths == {i: len(text.split()) + 1 for i, _, text in made}
+    assert all(abs(held[w]["short"] / 512 - 1 / 3) <= 0.26 for w in sorted(held)[:-2])
+
+
 @pytest.mark.parametrize("text", ["", "It's 3² ÀÉÎ don't", "İstanbul ŉ", "日本語 text", "a\x1cb\x85c\u00a0d", "<|endoftext|> x", "Σίσυφος ΟΔΟΣ", "e\u0301 \u200b!", "µ ª º ß ſ × ÷"])
 def test_word_lookups_equal_the_tokenizer(text):
     from tokenizers import Tokenizer
