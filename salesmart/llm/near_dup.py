@@ -53,7 +53,7 @@ def shingled(texts: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.ndarra
     for j in range(width):
         # words beyond the end of a text are left out, which also covers short texts
         shifted = np.zeros(len(words), np.uint64)
-        shifted[: len(words) - j or None] = words[j:] if j else words
+        shifted[: max(len(words) - j, 0)] = words[j:]
         hashes = kernels.mixed(hashes * np.uint64(0x9E3779B97F4A7C15) + shifted)
     text = np.repeat(np.arange(len(sizes)), sizes)
     place = np.arange(len(words)) - offsets[text] if len(words) else np.zeros(0, np.int64)

@@ -115,6 +115,18 @@ def test_a_large_group_is_one_class_across_blocks(spark, scratch, monkeypatch):
     assert all(found[i].class_id == i for i in found if i >= 100)
 
 
+def test_slices_of_very_few_words(spark):
+    import pyarrow as pa
+
+    for n in range(1, 8):
+        hashes, times, offsets = near_dup.shingled(pa.array([" ".join(f"w{i}" for i in range(n))]))
+        assert len(hashes) == max(1, n - 4) and list(times) == [1] * len(hashes) and list(offsets) == [0, len(hashes)]
+    long = "lorem ipsum dolor sit amet " * 50_000
+    made = docs(spark, [(1, "a " + long), (2, "two words"), (3, "b " + long), (4, "two words")]).coalesce(1)
+    found = rows_of(near_dup.near_duplicates(made, Scratch(spark, "few")))
+    assert found[2].class_id == found[4].class_id == 2
+
+
 def test_samples_agree_as_often_as_texts_are_alike():
     rng = np.random.default_rng(3)
     hashes = np.sort(rng.integers(1, 1 << 52, 300).astype(np.uint64))
