@@ -2,7 +2,8 @@
 
 Trust starts at hosts whose pages rules allow and follows links; distrust starts at hosts whose pages rules block
 and follows links backwards, so that who links to bad hosts is suspect. Both are personalised PageRank by a
-fixed number of rounds over host edges, and each host is judged by thresholds on its two ranks.
+fixed number of rounds over host edges. A bad host's distrust is divided among all who link to it; so a host is also
+judged by its suspicion, the damped share of its own links that lead to bad hosts, however many others link there.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from salesmart.storage import Scratch
 
 DAMPING = 0.85
 ROUNDS = 12
-#: Share of a wholly blocked host's own distrust from which a host counts as bad.
+#: Share of a wholly blocked host's own distrust, and of its suspicion (1), from which a host counts as bad.
 SUSPECT = 0.5
 DOMAIN_WEIGHT = 1.0
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -85,26 +86,30 @@ def host_edges(pages: DataFrame, domain_weight: float = DOMAIN_WEIGHT) -> DataFr
 
 
 def ranks(edges: DataFrame, seeds: DataFrame, scratch: Scratch, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
-    """(host, trust, distrust) after ``rounds`` steps from ``seeds`` (host, trusted, blocked: 0 to 1).
+    """(host, trust, distrust, suspicion) after ``rounds`` steps from ``seeds`` (host, trusted, blocked: 0 to 1).
 
     rank = (1 - damping) x seed + damping x what its neighbours pass on, each in shares of their edge weights:
     along edges for trust, against them for distrust. What reaches a host without further edges leaves the graph.
+    suspicion = blocked + (1 - trusted - blocked) x damping x the mean suspicion of those it has edges to, by weight.
     Rounds are written tables. Contributions are summed before the shuffle; a hub's edges are split by the skew join.
     """
     out = edges.groupBy("src").agg(F.sum("weight").alias("_all"))
     back = edges.groupBy("dst").agg(F.sum("weight").alias("_all"))
-    forward = edges.join(out, "src").select(F.col("src").alias("giver"), F.col("dst").alias("host"), (F.col("weight") / F.col("_all")).alias("_trust"), F.lit(0.0).alias("_distrust"))
-    reverse = edges.join(back, "dst").select(F.col("dst").alias("giver"), F.col("src").alias("host"), F.lit(0.0).alias("_trust"), (F.col("weight") / F.col("_all")).alias("_distrust"))
-    flows = scratch.table(forward.unionByName(reverse).groupBy("giver", "host").agg(F.sum("_trust").alias("_trust"), F.sum("_distrust").alias("_distrust")), "flows")
+    forward = edges.join(out, "src").select(F.col("src").alias("giver"), F.col("dst").alias("host"), (F.col("weight") / F.col("_all")).alias("_trust"), F.lit(0.0).alias("_distrust"), F.lit(0.0).alias("_suspicion"))
+    reverse = edges.join(back, "dst").select(F.col("dst").alias("giver"), F.col("src").alias("host"), F.lit(0.0).alias("_trust"), (F.col("weight") / F.col("_all")).alias("_distrust"), F.lit(0.0).alias("_suspicion"))
+    mean = edges.join(out, "src").select(F.col("dst").alias("giver"), F.col("src").alias("host"), F.lit(0.0).alias("_trust"), F.lit(0.0).alias("_distrust"), (F.col("weight") / F.col("_all")).alias("_suspicion"))
+    flows = scratch.table(forward.unionByName(reverse).unionByName(mean).groupBy("giver", "host").agg(*[F.sum(name).alias(name) for name in ("_trust", "_distrust", "_suspicion")]), "flows")
     start = lambda name: F.lit(1 - damping) * F.coalesce(F.col(name), F.lit(0.0))
-    rank = scratch.table(seeds.select("host", start("trusted").alias("trust"), start("blocked").alias("distrust")), "rank0")
+    seed = lambda name: F.coalesce(F.col(name), F.lit(0.0))
+    rank = scratch.table(seeds.select("host", start("trusted").alias("trust"), start("blocked").alias("distrust"), seed("blocked").alias("suspicion")), "rank0")
     for n in range(rounds):
         given = flows.join(rank.withColumnRenamed("host", "giver"), "giver")
-        given = given.groupBy("host").agg(F.sum(F.col("_trust") * F.col("trust")).alias("_t"), F.sum(F.col("_distrust") * F.col("distrust")).alias("_d"))
+        given = given.groupBy("host").agg(F.sum(F.col("_trust") * F.col("trust")).alias("_t"), F.sum(F.col("_distrust") * F.col("distrust")).alias("_d"), F.sum(F.col("_suspicion") * F.col("suspicion")).alias("_s"))
         rank = given.join(seeds, "host", "full").select(
             "host",
             (start("trusted") + F.lit(damping) * F.coalesce("_t", F.lit(0.0))).alias("trust"),
             (start("blocked") + F.lit(damping) * F.coalesce("_d", F.lit(0.0))).alias("distrust"),
+            (seed("blocked") + (1 - seed("trusted") - seed("blocked")) * F.lit(damping) * F.coalesce("_s", F.lit(0.0))).alias("suspicion"),
         )
         rank = scratch.table(rank, f"rank{n + 1}")
     return rank
@@ -115,7 +120,7 @@ def judge(pages: DataFrame, scratch: Scratch, rules=RULES, suspect: float = SUSP
 
     Reads page_id, url and html only. A null url, or one without ``://``, has an empty host and path. Seeds are the shares of
     a host's pages that rules allow and block. A host is bad when its distrust is above its trust and at least
-    ``suspect`` times what a wholly blocked host starts with; pages of all other hosts, known or not, are allowed.
+    ``suspect`` times what a wholly blocked host starts with, or its suspicion is at least ``suspect``; pages of all other hosts, known or not, are allowed.
     Repeated rows are judged alike and count in the shares. An empty table gives no rows.
     """
     url = F.col("url").cast("string")
@@ -126,7 +131,7 @@ def judge(pages: DataFrame, scratch: Scratch, rules=RULES, suspect: float = SUSP
     seeds = scratch.table(seeds, "seeds")
     edges = scratch.table(host_edges(parsed), "edges")
     rank = ranks(edges, seeds, scratch)
-    bad = (F.col("distrust") > F.col("trust")) & (F.col("distrust") >= suspect * (1 - DAMPING))
+    bad = (F.col("distrust") > F.col("trust")) & (F.col("distrust") >= suspect * (1 - DAMPING)) | (F.col("suspicion") >= suspect)
     hosts = scratch.table(rank.select("host", "trust", "distrust", F.when(bad, "block").otherwise("allow").alias("_host_verdict")), "hosts")
     hosts = F.broadcast(hosts) if is_small(hosts) else hosts
     return parsed.drop("html").join(hosts, "host", "left").select(

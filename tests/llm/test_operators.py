@@ -242,6 +242,16 @@ def test_who_links_to_bad_hosts_is_suspect(spark, scratch):
     assert [got[i].verdict for i in (1, 2, 3, 4)] == ["block", "block", "allow", "allow"]
 
 
+def test_many_who_link_to_one_bad_host_are_suspect(spark, scratch):
+    link = lambda host: f"<a href='https://{host}/x'>"
+    made = [(0, "http://bad.net/", ""), (1, "http://good.org/fr/", "")]
+    made += [(10 + i, f"http://farm{i}.biz/a", link("bad.net")) for i in range(40)]
+    made += [(100 + i, f"http://behind{i}.biz/a", link(f"farm{i}.biz")) for i in range(2)]
+    made += [(200 + i, f"http://fine{i}.biz/a", link("bad.net") + link("good.org") + link(f"other{i}.biz")) for i in range(5)]
+    got = rows_of(url_filter.judge(spark.createDataFrame(made, "page_id long, url string, html string"), scratch), "page_id")
+    assert {i: row.verdict for i, row in got.items()} == {i: "allow" if i == 1 or i >= 200 else "block" for i, *_ in made}
+
+
 # 5 context-tree weighting
 
 
