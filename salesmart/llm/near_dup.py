@@ -7,7 +7,8 @@
 2. Every text gets ``BANDS`` x ``ROWS`` consistent weighted samples; texts that agree on a band meet in a bucket.
 3. A bucket's texts are compared by samples with its pivots: a text joins the family of every pivot at an
    estimated similarity of ``JOINS`` or more, and becomes a pivot below ``PIVOT``. Since 1 - similarity is a
-   metric, texts of similarity ``SIMILAR`` in one bucket end up in one family.
+   metric, texts of similarity ``SIMILAR`` in one bucket end up in one family. A bucket of more than ``HOT_BUCKET``
+   texts is split, and each part compares its texts with the pivots of all parts.
 4. Within a family, all texts are compared exactly in blocks; only links that connect new parts are kept.
 5. Classes are the connected components of the links; equal texts are one text throughout.
 """
@@ -272,21 +273,46 @@ def classes(documents: DataFrame, scratch: Scratch, similar: float = SIMILAR) ->
     placed = sketches.select("text_key", F.explode("bands").alias("bucket"))
     shared = scratch.table(placed.groupBy("bucket").agg(F.count("*").alias("_texts")).where("_texts > 1"), "buckets")
     met = placed.join(F.broadcast(shared) if is_small(shared) else shared, "bucket")
-    # a bucket of very many texts is spread over several; its texts meet in their other bands as well
-    salt = F.pmod(F.xxhash64("text_key", "bucket"), F.ceil(F.col("_texts") / HOT_BUCKET))
-    met = scratch.table(met.select("text_key", "bucket", salt.alias("_salt")), "met")
-    met = met.join(sketches.select("text_key", "samples"), "text_key").repartition("bucket", "_salt").sortWithinPartitions("bucket", "_salt", "text_key")
+    # a bucket of very many texts is spread over several, and each of them gets the pivots of all
+    salts = F.ceil(F.col("_texts") / HOT_BUCKET)
+    salt = F.pmod(F.xxhash64("text_key", "bucket"), salts)
+    met = scratch.table(met.select("text_key", "bucket", salt.alias("_salt"), salts.alias("_salts")), "met")
+    drawn = sketches.select("text_key", "samples")
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        return rows.repartition("bucket", "_salt").sortWithinPartitions("bucket", "_salt", "_text", "text_key")
+
+    def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, matrix = None, None
+        for batch in batches:
+            new = []
+            places = zip(batch.column("bucket").to_pylist(), batch.column("_salt").to_pylist())
+            for n, (place, drawn) in enumerate(zip(places, batch.column("samples").to_pylist())):
+                own = np.frombuffer(drawn, np.uint16)
+                if place != current:
+                    current, matrix = place, own[None, :]
+                elif (matrix == own).mean(axis=1).max() < PIVOT:
+                    matrix = np.concatenate([matrix, own[None, :]])
+                else:
+                    continue
+                new.append(n)
+            yield batch.take(pa.array(new, pa.int64())).select(["bucket", "_salts", "text_key", "samples"])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, pivots, matrix, forest = None, [], None, _Forest()
         for batch in batches:
             found = []
             places = zip(batch.column("bucket").to_pylist(), batch.column("_salt").to_pylist())
-            for place, key, drawn in zip(places, batch.column("text_key").to_pylist(), batch.column("samples").to_pylist()):
+            columns = (batch.column(name).to_pylist() for name in ("text_key", "samples", "_text"))
+            for place, key, drawn, text in zip(places, *columns):
                 own = np.frombuffer(drawn, np.uint16)
                 if place != current:
                     current, pivots, matrix, forest = place, [key], own[None, :], _Forest()
                     continue
+                if not text:  # a pivot of the whole bucket, ahead of the texts
+                    pivots.append(key)
+                    matrix = np.concatenate([matrix, own[None, :]])
+                    continue
                 alike = (matrix == own).mean(axis=1)
                 # only what connects new parts of the bucket: fewer edges than texts
                 found += [(key, pivots[i]) for i in np.flatnonzero(alike >= JOINS) if forest.join(key, pivots[i])]
@@ -295,7 +321,16 @@ def classes(documents: DataFrame, scratch: Scratch, similar: float = SIMILAR) ->
                     matrix = np.concatenate([matrix, own[None, :]])
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.binary()), pa.array([x[1] for x in found], pa.binary())], names=["a", "b"])
 
-    candidates = met.select("bucket", "_salt", "text_key", "samples").mapInArrow(tidy(gather), "a binary, b binary")
+    texts = met.join(drawn, "text_key").select("bucket", "_salt", "_salts", "text_key", "samples", F.lit(True).alias("_text"))
+    hot = met.where("_salts > 1")
+    if hot.limit(1).count():
+        # a text is near a pivot of its own part, and any text near that text compares itself with this pivot
+        split = dealt(texts.where("_salts > 1")).select("bucket", "_salt", "_salts", "text_key", "samples")
+        leads = scratch.table(split.mapInArrow(tidy(lead), "bucket long, _salts long, text_key binary, samples binary"), "pivots")
+        each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1)).alias("_salt")
+        leads = leads.select("bucket", each, "_salts", "text_key", "samples", F.lit(False).alias("_text"))
+        texts = texts.unionByName(leads)
+    candidates = dealt(texts).select("bucket", "_salt", "text_key", "samples", "_text").mapInArrow(tidy(gather), "a binary, b binary")
     families = scratch.table(graphs.components(candidates, scratch), "families")
     sizes = families.groupBy("component").agg(F.count("*").alias("_members"))
     # every pair of blocks of a family meets once: block i with itself and with each later one

@@ -115,6 +115,20 @@ def test_a_large_group_is_one_class_across_blocks(spark, scratch, monkeypatch):
     assert all(found[i].class_id == i for i in found if i >= 100)
 
 
+@pytest.mark.parametrize("most", [0.02, 3])
+def test_split_buckets_keep_their_pairs(spark, scratch, monkeypatch, most):
+    # at 0.02 the two texts of a bucket are dealt to 100 parts; at 3 only the large group's buckets are split
+    monkeypatch.setattr(near_dup, "HOT_BUCKET", most)
+    made = {}
+    for pair in range(60):
+        words = [f"p{pair}-{i}" for i in range(100)]
+        made[2 * pair], made[2 * pair + 1] = " ".join(words), " ".join([*words[:50], "other", *words[51:]])
+    for i in range(20):
+        made[1000 + i] = " ".join([*[f"g{j}" for j in range(i)], f"x{i}", *[f"g{j}" for j in range(i + 1, 100)]])
+    found = rows_of(near_dup.near_duplicates(docs(spark, made.items()), scratch))
+    assert {i: found[i].class_id for i in made} == {i: 1000 if i >= 1000 else i // 2 * 2 for i in made}
+
+
 def test_slices_of_very_few_words(spark):
     import pyarrow as pa
 
