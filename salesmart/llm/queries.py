@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from salesmart.llm import chat, ctw, fingerprints, langid, mixing, near_dup, packing, quality, sharding, url_filter
+from salesmart.llm import alignment, chat, ctw, fingerprints, langid, mixing, near_dup, packing, quality, sharding, url_filter, vector_codes
 from salesmart.storage import Scratch
 
 
@@ -62,6 +62,22 @@ def op10_sharding(spark, sf_dir):
     return sharding.place(_table(spark, sf_dir, "documents"), Scratch(spark, "op10"))
 
 
-QUERIES = {query.__name__: query for query in (op1_mixing, op2_near_duplicates, op3_fingerprints, op4_url_filter, op5_context_tree, op6_packing, op7_chat, op8_language, op9_quality, op10_sharding)}
+def op11_vector_codes(spark, sf_dir):
+    return vector_codes.encode(_table(spark, sf_dir, "embeddings"), Scratch(spark, "op11"))
 
-SQL = {"op1_mixing": mixing.SQL}
+
+def piece_model(name="piece_bpe_32k.model"):
+    """A public piece tokenizer's file, read on the driver; tasks get its bytes."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as file:
+        return file.read()
+
+
+def op12_alignment(spark, sf_dir):
+    return alignment.align(_table(spark, sf_dir, "documents"), tokenizer_json("byte_bpe_50k.json"), piece_model(), Scratch(spark, "op12"))
+
+
+QUERIES = {query.__name__: query for query in (op1_mixing, op2_near_duplicates, op3_fingerprints, op4_url_filter, op5_context_tree, op6_packing, op7_chat, op8_language, op9_quality, op10_sharding, op11_vector_codes, op12_alignment)}
+
+SQL = {"op1_mixing": mixing.SQL, "op11_vector_codes": vector_codes.SQL}
