@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from salesmart.llm import alignment, chat, ctw, fingerprints, langid, mixing, near_dup, packing, quality, sharding, url_filter, vector_codes
+from salesmart.llm import alignment, chat, ctw, fingerprints, langid, main_text, mixing, near_dup, packing, quality, sharding, url_filter, vector_codes
 from salesmart.storage import Scratch
 
 
@@ -78,6 +78,10 @@ def op12_alignment(spark, sf_dir):
     return alignment.align(_table(spark, sf_dir, "documents"), tokenizer_json("byte_bpe_50k.json"), piece_model(), Scratch(spark, "op12"))
 
 
-QUERIES = {query.__name__: query for query in (op1_mixing, op2_near_duplicates, op3_fingerprints, op4_url_filter, op5_context_tree, op6_packing, op7_chat, op8_language, op9_quality, op10_sharding, op11_vector_codes, op12_alignment)}
+def op13_main_text(spark, sf_dir):
+    return main_text.extract(_table(spark, sf_dir, "pages"))
+
+
+QUERIES = {query.__name__: query for query in (op1_mixing, op2_near_duplicates, op3_fingerprints, op4_url_filter, op5_context_tree, op6_packing, op7_chat, op8_language, op9_quality, op10_sharding, op11_vector_codes, op12_alignment, op13_main_text)}
 
 SQL = {"op1_mixing": mixing.SQL, "op11_vector_codes": vector_codes.SQL}
