@@ -74,7 +74,8 @@ class Page:
         self.tags, self.parents, self.attributes, self.labels = ["html"], [-1], [""], [None]
         self.texts: list[str | None] = [None]
         self.link_chars, self.controls = [0], [0]
-        self._run, self._links, self._linked = [], 0, 0
+        self._run, self._linked = [], 0
+        self._open: dict[str, int] = {}  # how many elements of a kind are open
         self._read(source)
 
     def _node(self, tag: str, parent: int, attributes: str, text: str | None = None, links: int = 0) -> int:
@@ -104,7 +105,7 @@ class Page:
             text = source[at : match.start() if match else len(source)]
             if text and not skipping:
                 self._run.append(text)
-                if self._links:
+                if self._open.get("a"):
                     self._linked += len(text)
             if not match:
                 break
@@ -138,17 +139,15 @@ class Page:
             if tag in CONTROLS:
                 self.controls[stack[-1][1]] += 1
             if stack[-1][0] == "head" and tag not in HEAD_ONLY:
-                stack.pop()
-                skipping = 0 if skipping > len(stack) else skipping
+                skipping = self._pop(stack, len(stack) - 1, skipping)
             if tag in ("html", "body"):
                 self.attributes[0] += " " + attributes
                 continue
             if attributes.endswith("/") and tag in SKIPPED:
                 continue
             block = stack[-1][1]
-            if tag == "a":
-                self._links += 1
-            elif tag not in INLINE and not skipping:
+            self._open[tag] = self._open.get(tag, 0) + 1
+            if tag not in INLINE and not skipping:
                 self._flush(block)
                 block = self._node(tag, block, attributes)
             stack.append((tag, block))
@@ -160,16 +159,15 @@ class Page:
         """Close open elements down to ``depth``."""
         block = stack[-1][1]
         while len(stack) > depth:
-            tag, _ = stack.pop()
-            if tag == "a":
-                self._links -= 1
+            self._open[stack.pop()[0]] -= 1
         if stack[-1][1] != block:
             self._flush(block)
         return 0 if skipping > len(stack) else skipping
 
     def _close(self, stack: list, tag: str, skipping: int) -> int:
-        if tag in ("br", "p") and all(open_tag != tag for open_tag, _ in stack):
-            self._flush(stack[-1][1])
+        if not self._open.get(tag):
+            if tag in ("br", "p") and not skipping:
+                self._flush(stack[-1][1])
             return skipping
         for depth in range(len(stack) - 1, 0, -1):
             if stack[depth][0] == tag:
@@ -180,14 +178,14 @@ class Page:
 
     def _implied_ends(self, stack: list, tag: str, skipping: int) -> int:
         """A block start ends an open paragraph; list items and table parts end their kind."""
-        for depth in range(len(stack) - 1, 0, -1):
+        for depth in range(len(stack) - 1, 0, -1) if self._open.get("p") else ():
             if stack[depth][0] == "p":
                 skipping = self._pop(stack, depth, skipping)
                 break
             if stack[depth][0] in P_SCOPE:
                 break
         same = ROW_PARTS.get(tag, (tag,))
-        if tag in CLOSED_BY_SAME:
+        if tag in CLOSED_BY_SAME and any(self._open.get(kind) for kind in same):
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth][0] in same:
                     return self._pop(stack, depth, skipping)
