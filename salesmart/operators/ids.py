@@ -45,13 +45,14 @@ def number_positions(placed: DataFrame, id_name: str, start: int = 1) -> DataFra
     )
 
 
-def number_lines(rows: DataFrame, id_name: str, start: int = 1, max_splits: int = 1_000_000) -> DataFrame:
+def number_lines(rows: DataFrame, id_name: str, start: int = 1, max_splits: int = 1_000_000, before: list[str] | None = None) -> DataFrame:
     """Gap-free ids in file and line order for rows read from files and written once.
 
     ``file_row`` counts up by one along a split (a file, or one block of it), so only the first value
-    and the size of each split are needed: the rows are neither sorted nor shuffled.
+    and the size of each split are needed: the rows are neither sorted nor shuffled. ``before`` are columns of a file that
+    come before its name in that order.
     """
-    split = ["source_file", "file_block"]
+    split = [*(before or []), "source_file", "file_block"]
     sizes = rows.groupBy(*split).agg(F.min("file_row").alias("_first"), F.count("*").alias("_rows"))
     # One row per split.
     before = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)

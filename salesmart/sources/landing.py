@@ -45,12 +45,17 @@ def missing_files(expected: DataFrame, found: DataFrame) -> DataFrame:
 
 def list_arrivals(spark: SparkSession, root: str, date: str | dt.date) -> DataFrame:
     """Files in the day's folder, from the file listing alone (contents are not read)."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", f"*_sales_{date}.csv")
-        .load(f"{root.rstrip('/')}/{date}")
-        .select("path", "length", "modificationTime")
-    )
+    return _listed(spark, [f"{root.rstrip('/')}/{date}"], f"*_sales_{date}.csv")
+
+
+def list_range(spark: SparkSession, root: str, dates: list[dt.date]) -> DataFrame:
+    """Files in the folders of several days, each with its own day in its name."""
+    files = _listed(spark, [f"{root.rstrip('/')}/{date}" for date in dates], "*_sales_*.csv")
+    return files.where(F.element_at(F.split("path", "/"), -2) == F.col("business_date").cast("string"))
+
+
+def _listed(spark: SparkSession, folders: list[str], pattern: str) -> DataFrame:
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folders).select("path", "length", "modificationTime")
     name = F.element_at(F.split("path", "/"), -1)
     store, day = parse_file_name(name)
     return files.select("path", name.alias("source_file"), store.alias("store_id"), day.alias("business_date"), "length", "modificationTime")
@@ -116,9 +121,14 @@ def read_landing(
         arrivals = []
     if not arrivals:
         raise NoInputFiles(f"no store files under {root}/{date}")
+    return read_files(spark, [(row.path, row.store_id) for row in arrivals], encodings, line_breaks)
+
+
+def read_files(spark: SparkSession, files: list[tuple[str, str]], encodings: dict[str, str] | None = None, line_breaks: bool = True) -> DataFrame:
+    """Rows of (path, store) files, each in its store's encoding and with columns taken by its own header."""
     groups: dict[str, list[str]] = {}
-    for row in arrivals:
-        groups.setdefault(encodings.get(row.store_id, "UTF-8"), []).append(row.path)
+    for path, store in files:
+        groups.setdefault((encodings or {}).get(store, "UTF-8"), []).append(path)
     out = None
     for encoding, paths in sorted(groups.items()):
         part = read_pos_csv(spark, sorted(paths), encoding, line_breaks)

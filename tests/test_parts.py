@@ -116,7 +116,8 @@ def test_dimension_refresh_keeps_keys(spark, dims):
         columns,
     )
     fresh = {r.store_id: r for r in dim_ops.build_store(source, dims.store).collect()}
-    assert {k: r.store_key for k, r in fresh.items()} == {"S12": 12, "S00": 13, "S13": 14}
+    assert {k: fresh[k].store_key for k in ("S12", "S00", "S13")} == {"S12": 12, "S00": 13, "S13": 14}
+    assert {k: r.store_key for k, r in fresh.items() if not r.is_active} == {f"S{n:02d}": n for n in range(1, 12)}
     assert fresh["S12"].franchise_owner == "New Owner"
 
 

@@ -188,13 +188,14 @@ def test_daily_run_end_to_end(spark, warehouse, tmp_path):
 
 
 def test_a_large_batch_moves_no_loaded_id(spark, warehouse):
-    """The id table is bucketed: beyond the broadcast bound only the batch is exchanged."""
+    """Merged id tables are bucketed: beyond the broadcast bound only the batch is exchanged."""
     from salesmart.operators import validate
 
+    warehouse.fan, warehouse.ids_per_bucket = 2, 1000
     warehouse.write_ids(spark.range(2000).select(F.concat(F.lit("T"), "id").alias("transaction_id")), "run-1")
     warehouse.write_ids(spark.range(2000, 3000).select(F.concat(F.lit("T"), "id").alias("transaction_id")), "run-2")
     batch = spark.range(1900, 4000).select(F.concat(F.lit("T"), "id").alias("transaction_id")).groupBy("transaction_id").agg(F.count("*").alias("_rows"))
-    found = validate.loaded_ids(batch, warehouse.fact_ids("run-9"), 10**6, 0)
+    found = validate.loaded_ids(batch, warehouse.known_ids(but="run-9"), 10**6, 0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
@@ -215,7 +216,7 @@ def test_a_large_batch_moves_no_loaded_id(spark, warehouse):
     assert "Bucketed: true" in plan and "Join" in above[-1]
     assert not any("Exchange" in line for line in above)
     assert found.count() == 1100
-    assert validate.loaded_ids(batch, warehouse.fact_ids("run-2"), 10**6, 0).count() == 100
+    assert validate.loaded_ids(batch, warehouse.known_ids(but="run-2"), 10**6, 0).count() == 100
 
 
 def test_absent_hot_ids_are_spread(spark, scratch):
@@ -239,12 +240,15 @@ def test_absent_hot_ids_are_spread(spark, scratch):
 
 
 def test_a_load_reads_no_fact_rows(spark, warehouse, tmp_path):
-    """Sales keys come from markers and loaded ids from their own table; a redone load keeps its keys."""
+    """Sales keys come from markers and loaded ids from one column; a redone load keeps its keys."""
     assert [warehouse.reserve_keys(name, 10) for name in ("a-0", "b-0", "a-0")] == [1, 11, 1]
     assert warehouse.reserve_keys("c-0", 5) == 21
     warehouse.files.create(warehouse.path(f"markers/keys/{26:020d}"), "")  # its writer died
     assert warehouse.reserve_keys("d-0", 5) == 26 + 10**12 + 1
-    assert "loaded_ids" in warehouse.fact_ids()._jdf.queryExecution().optimizedPlan().toString()
+    write(tmp_path / "raw", "S01", [sale("S01", 1)])
+    daily.run_day(warehouse, daily.Settings(f"file:{tmp_path}/raw"), DAY)
+    plan = warehouse.fact_ids()._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<transaction_id:string>" in plan
 
 
 def test_two_runs_at_once_get_their_own_ids(spark, warehouse):
