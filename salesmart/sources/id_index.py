@@ -113,7 +113,7 @@ def index(spark: SparkSession, root: str, state: State, recent, but: str | None
 
 def merge_due(state: State, fan: int = FAN) -> tuple[list[str], list[str], int] | None:
     """(loads, tables, level) of the next merge, or None."""
-    loads = uncovered(state)
+    loads, fan = uncovered(state), max(fan, 2)
     if len(loads) >= fan:
         return loads, [], 1
     levels: dict[int, list[str]] = {}
