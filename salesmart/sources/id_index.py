@@ -22,8 +22,8 @@ from salesmart.sources.commits import IDS, CommitLog, State
 
 FAN = 16
 IDS_PER_BUCKET = 4_000_000
-#: Ranges a batch is narrowed to, and how many ids are named one by one.
-ZONES, FEW_IDS = 64, 500
+#: Ranges a batch is narrowed to, lengths of prefix that may tell them apart, and how many ids are named one by one.
+ZONES, PREFIXES, FEW_IDS = 64, (1, 2, 3, 4, 6, 8, 10, 12, 16, 20, 24, 32), 500
 
 
 @dataclass
@@ -50,10 +50,13 @@ class IdIndex:
         if not self.sources:
             return []
         ids = batch.select("transaction_id").where("transaction_id is not null")
-        spread = ids.repartitionByRange(ZONES, "transaction_id").groupBy(F.spark_partition_id()).agg(
-            F.min("transaction_id").alias("low"), F.max("transaction_id").alias("high"), F.count("*").alias("n")
-        )
-        zones = spread.collect()  # one row per zone
+        # ids often begin with what they have in common (a store, a day): a zone is a prefix, as long as there are not too many
+        begin = lambda n: F.substring("transaction_id", 1, n)
+        kinds = ids.agg(*[F.approx_count_distinct(begin(n)).alias(str(n)) for n in PREFIXES]).first()
+        length = max((n for n in PREFIXES if kinds[str(n)] <= ZONES), default=0)
+        spread = ids.groupBy(begin(length)) if length else ids.groupBy()
+        bounds = F.min("transaction_id").alias("low"), F.max("transaction_id").alias("high"), F.count("*").alias("n")
+        zones = [zone for zone in spread.agg(*bounds).collect() if zone.n]  # one row per prefix
         if not zones:
             return []
         if sum(zone.n for zone in zones) <= FEW_IDS:
