@@ -41,9 +41,13 @@ NAMES = "anna|Bob|carl77|Dora K.|emil|F. Gray|guest|Hanna|ivo|J. Smith|kate|Leo"
 def sample(pages: DataFrame, most: int = SAMPLE_PAGES, chars: int = SAMPLE_CHARS) -> list[str]:
     """At most ``most`` pages with telling markup, whichever way the table is split; repeated pages count once."""
     told = F.lower("html").rlike("<(article|main)[\\s>]") & (F.length("html") <= chars)
-    key = F.xxhash64("html")
-    some = pages.where(told).select(key.alias("key"), "html").orderBy("key", "html").limit(4 * most).collect()
-    return list(dict.fromkeys(row.html for row in some))[:most]
+    marked = pages.where(told).select(F.xxhash64("html").alias("key"), "html")
+    keys = [row.key for row in marked.select("key").distinct().orderBy("key").limit(most).collect()]
+    if not keys:
+        return []
+    # only the chosen pages travel; of equal pages each task sends one
+    some = marked.where(F.col("key") <= keys[-1]).groupBy("key").agg(F.min("html").alias("html")).orderBy("key").collect()
+    return [row.html for row in some]
 
 
 def told(source: str) -> tuple[list[tuple[str, str]], list[tuple[str, bool]]]:
