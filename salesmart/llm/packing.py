@@ -16,6 +16,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -28,7 +29,8 @@ from salesmart.storage import Scratch
 SEQUENCE = 2048
 UNIT = 256
 END_ID = 1
-WORDS_KEPT = 100_000
+#: A worker's table of words, and the longest word it keeps.
+WORDS_KEPT, LONGEST_KEPT = 60_000, 64
 CHUNK_BYTES = 2 << 20
 
 # Letters and digits up to Latin Extended-A. Texts within this range are split here and their words are
@@ -40,22 +42,33 @@ _PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^\\s{_L
 
 
 class Words(dict):
-    """Token ids of a word as packed unsigned 32-bit integers, worked out on first use."""
+    """Token ids of what stands between white space, as packed unsigned 32-bit integers, worked out on first use.
+
+    The words met last stay: a full table becomes the older one, from which words that come again are taken back.
+    """
 
     def __init__(self, tokenizer):
         super().__init__()
-        self.model = tokenizer.model
+        self.model, self.older = tokenizer.model, {}
         # the usual reversible map of bytes to printable characters
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [byte for byte in range(256) if byte not in shown]
         self.shown = {byte: byte for byte in shown} | {byte: 256 + n for n, byte in enumerate(hidden)}
+        self.piece = lru_cache(WORDS_KEPT // 2)(self._piece)
+
+    def _piece(self, piece: str) -> bytes:
+        letters = piece.encode().decode("latin-1").translate(self.shown)
+        return array("I", [token.id for token in self.model.tokenize(letters)]).tobytes()
 
     def __missing__(self, word: str) -> bytes:
-        letters = word.encode().decode("latin-1").translate(self.shown)
-        ids = array("I", [token.id for token in self.model.tokenize(letters)]).tobytes()
-        if len(self) >= WORDS_KEPT:
-            self.clear()
-        self[word] = ids
+        ids = self.older.get(word)
+        if ids is None:
+            ids = b"".join(map(self.piece, _PIECE.findall(word)))
+        if len(word) <= LONGEST_KEPT:
+            if len(self) >= WORDS_KEPT:
+                self.older = dict(self)
+                self.clear()
+            self[word] = ids
         return ids
 
 
@@ -72,7 +85,7 @@ def encoder(tokenizer_json: str):
 
     def encode(text: str) -> bytes:
         if by_word and _PLAIN.fullmatch(text):
-            return b"".join(map(look_up, _PIECE.findall(text.lower())))
+            return b"".join(map(look_up, text.lower().split()))
         return array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     return encode
