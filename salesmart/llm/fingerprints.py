@@ -23,8 +23,11 @@ def _let(value: Column, body) -> Column:
 
 
 def anchors(text: Column) -> Column:
-    """By position of each k-mer: its 32-bit hash if it is a closed syncmer, else null."""
-    inner = F.transform(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{S}}}))"), F.lit(1)), lambda s: F.xxhash64(s))
+    """By position of each k-mer: its 32-bit hash if it is a closed syncmer, else null.
+
+    The pattern takes one code point at a time; an empty match would step into surrogate pairs.
+    """
+    inner = F.transform(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{S}}}))."), F.lit(1)), lambda s: F.xxhash64(s))
 
     def close(h: Column) -> Column:
         def one(first: Column, i: Column) -> Column:
