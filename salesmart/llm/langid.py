@@ -23,6 +23,8 @@ ORDER = 3
 CHUNK_BYTES = 2 << 20
 #: The trees are fitted on at most so many documents per language, those with the smallest hashes.
 DOCUMENTS_PER_LANGUAGE = 1500
+#: Counts of at most so many languages are broadcast (a row each).
+MOST_LANGUAGES = 10_000
 UNKNOWN = "und"
 
 
@@ -34,15 +36,26 @@ def folded(text: Column) -> Column:
     return F.lower(text)
 
 
-def sample(training: DataFrame, per_language: int = DOCUMENTS_PER_LANGUAGE) -> DataFrame:
-    """At most ``per_language`` (lang, text) rows per language by hash of id and text; nulls are left out."""
+def sample(training: DataFrame, per_language: int = DOCUMENTS_PER_LANGUAGE, most_broadcast: int = MOST_LANGUAGES) -> DataFrame:
+    """At most ``per_language`` (lang, text) rows per language by hash of id and text; nulls are left out, repeated rows count once.
+
+    Only texts of chosen rows are shuffled.
+    """
     rows = training.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     rows = rows.select("lang", "text", F.xxhash64("doc_id", "text").alias("_hash"))
     # hashes are spread evenly, so a threshold by count leaves few more than wanted before the ranking
-    sizes = rows.groupBy(F.col("lang").alias("_lang")).count()
-    near = rows.join(sizes, F.col("lang") == F.col("_lang"))  # small enough to be broadcast, or else skew is split
+    sizes = rows.groupBy("lang").count()
+    few = sizes.limit(most_broadcast + 1).collect()
     share = (F.col("_hash") / float(1 << 64)) + 0.5
-    near = near.where(share * F.col("count") < 2.0 * per_language + 20)
+    wanted = share * F.col("count") < 2.0 * per_language + 20
+    if len(few) <= most_broadcast:
+        counts = rows.sparkSession.createDataFrame([tuple(row) for row in few], "lang string, count long")
+        near = rows.join(F.broadcast(counts), "lang").where(wanted).drop("count")
+    else:  # no table of languages to send: hashes meet their counts alone, and texts the chosen hashes
+        chosen = rows.select("lang", "_hash").distinct().join(sizes, "lang").where(wanted).select("lang", "_hash")
+        near = rows.join(chosen, ["lang", "_hash"], "left_semi")
+    # a repeated row counts once, so that no task gets its copies
+    near = near.groupBy("lang", "_hash").agg(F.min("text").alias("text"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("_hash", "text"))
     return near.withColumn("_rank", rank).where(F.col("_rank") <= per_language).select("lang", "text")
 
