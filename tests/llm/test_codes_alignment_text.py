@@ -300,3 +300,54 @@ def test_trees_learn_what_one_split_cannot():
     model = trees.fit(x[:3000], y[:3000], np.ones(3000), trees=20, depth=3)
     assert ((model.probability(x[3000:]) > 0.5) == y[3000:]).mean() > 0.95
     assert len(model.probability(x[:0])) == 0
+
+
+# earlier operators
+
+
+def test_edited_fingerprints_beyond_the_basic_plane(spark):
+    """Every edited fingerprint is the fingerprint of the edited text itself, with emoji and rare ideographs throughout."""
+    from salesmart.llm import fingerprints
+
+    rng = random.Random(4)
+    letters = "ab \U0001f600\U0001f680\U00020000\U0002a6d6é漢\U0001d11e"
+    texts = ["\U0001f600" * 20, "ab\U0001f600cdefghijk", "", "\U00020000" * 3, *("".join(rng.choices(letters, k=rng.randint(5, 400))) for _ in range(40))]
+    made = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in fingerprints.edited_fingerprints(made).collect()}
+    edited = {}
+    for n, text in enumerate(texts):
+        cut, after = len(text) // 3, texts[n - 1]
+        edited[n] = text[: len(text) - cut] + after[:cut]
+        assert got[n].n_chars == len(text) and got[n].edited_sha256 == hashlib.sha256(edited[n].encode()).hexdigest()
+    whole = spark.createDataFrame(list(edited.items()), "doc_id long, text string")
+    want = {r.doc_id: r.fingerprint for r in fingerprints.fingerprinted(whole).collect()}
+    assert all(got[n].edited_fingerprint == want[n] for n in want)
+    inner = spark.createDataFrame([(texts[0],)], "text string").select(F.size(fingerprints.anchors(F.col("text")))).first()[0]
+    assert inner == 20 - fingerprints.K + 1
+
+
+@pytest.mark.parametrize("most", [10_000, 1])
+def test_language_sample_shuffles_chosen_texts_only(spark, most):
+    from salesmart.llm import langid
+
+    rows = [(n, f"text number {n}", "en" if n % 3 else "fr") for n in range(3000)] + [(7, "text number 7", "en")] * 500
+    made = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("count", F.lit(1)).repartition(4)
+    picked = langid.sample(made, 40, most)
+    got = Counter(r.lang for r in picked.collect())
+    assert got == {"en": 40, "fr": 40} and len({r.text for r in picked.collect()}) == 80
+    wanted = sorted(r[0] for r in made.where("lang = 'fr'").select(F.xxhash64("doc_id", "text")).distinct().collect())[:40]
+    chosen = {r.text for r in picked.where("lang = 'fr'").collect()}
+    assert chosen == {r.text for r in made.where(F.xxhash64("doc_id", "text").isin(wanted)).select("text").collect()}
+
+
+def test_word_tables_forget_without_changing_ids(monkeypatch):
+    from tokenizers import Tokenizer
+
+    from salesmart.llm import packing
+
+    monkeypatch.setattr(packing, "WORDS_KEPT", 3)
+    model = Tokenizer.from_str(queries.tokenizer_json())
+    words = packing.Words(model)
+    for word in "the cat's 42nd sat-on $$$% the über the mat cat's the ärger".split() * 3:
+        assert np.frombuffer(words[word], np.uint32).tolist() == model.encode(word, add_special_tokens=False).ids
+    assert len(words) <= 3 and len(words.older) <= 3
