@@ -244,6 +244,35 @@ def _with(*parts: str, select: str) -> str:
 FACT_COLUMNS = (
     "date_key, store_key, product_key, payment_key, transaction_id, cashier_id, quantity, unit_price, discount_applied, source_file"
 )
+# Store files of nine dates: a row's file is that of its quarter, a resent row's that of the next date, where it is a
+# duplicate if the first copy was loaded. Copies within one date are told apart by their hash as ever.
+FILED = f"""
+filed AS (
+  SELECT s.*, f.dt, CAST(date_diff('month', DATE '2024-01-01', f.dt) // 3 AS INT) + CASE WHEN stg_id > 10000000 THEN 1 ELSE 0 END AS day,
+         concat(f.st, '_sales_', strftime(DATE '2025-03-01' + CAST(date_diff('month', DATE '2024-01-01', f.dt) // 3 AS INT)
+                + CASE WHEN stg_id > 10000000 THEN 1 ELSE 0 END, '%Y-%m-%d'), '.csv') AS new_file
+  FROM staged s JOIN (SELECT seq, st, dt FROM placed) f ON f.seq = s.stg_id % 10000000),
+"""
+# The rules on those files: first by themselves, then with what an earlier date has loaded.
+RANGE = (
+    FILED
+    + VALIDATED.strip()
+    .replace("PARTITION BY row_hash ORDER BY stg_id", "PARTITION BY day, row_hash ORDER BY stg_id")
+    .replace("FROM staged s", "FROM (SELECT * REPLACE (new_file AS source_file) FROM filed) s")
+    .replace("LEFT JOIN before b", "LEFT JOIN (SELECT NULL AS transaction_id) b")
+    .replace("is_loaded OR copy_no > 1", "copy_no > 1")
+    .replace("validated AS (SELECT *,", "alone AS (SELECT *,")
+    + f""",
+validated AS (
+  SELECT a.* REPLACE (coalesce(CASE WHEN f.transaction_id IS NOT NULL THEN 'DUPLICATE' END, a.rejection_reason) AS rejection_reason,
+    CASE WHEN f.transaction_id IS NOT NULL THEN 'FAIL' ELSE a.validation_status END AS validation_status)
+  FROM alone a LEFT JOIN (
+    SELECT transaction_id FROM alone WHERE stg_id < 10000000 AND validation_status = 'PASS'
+      AND store_key IS NOT NULL AND product_key IS NOT NULL AND payment_key IS NOT NULL) f
+    ON f.transaction_id = a.transaction_id AND a.stg_id > 10000000)"""
+)
+RANGE_FACT = FACT.replace("AND transaction_id NOT IN (SELECT transaction_id FROM before)", "")
+TO_RANGE = (NUMBERED, DIMS, RANGE, RANGE_FACT)
 TO_VALIDATED = (NUMBERED, DIMS, VALIDATED)
 TO_FACT = (*TO_VALIDATED, FACT)
 TO_RUNS = (*TO_VALIDATED, RUNS)
@@ -481,6 +510,31 @@ QUERIES: dict[str, str] = {
     "freshness": _with(
         *TO_FACT, select=f"SELECT max(date_key) AS latest_date_key, {LOAD_TIME} AS latest_load FROM fact"
     ),
+    "fact_load_two_writers": _with(*TO_FACT, select=f"SELECT {FACT_COLUMNS} FROM fact"),
+    "clear_staging": _with(
+        *TO_VALIDATED,
+        select="SELECT stg_id, validation_status, rejection_reason, CAST(DATE '2026-01-01' - CAST(stg_id % 15 AS INT) AS TIMESTAMP) "
+        "+ INTERVAL 6 HOUR AS load_timestamp FROM validated WHERE validation_status = 'FAIL' AND stg_id % 15 <= 7",
+    ),
+    "backfill_range": _with(*TO_RANGE, select=f"SELECT {FACT_COLUMNS} FROM fact"),
+    "backfill_rejects": _with(
+        *TO_RANGE,
+        select="SELECT source_file, rejection_reason, count(*) AS rejected_rows FROM validated WHERE validation_status = 'FAIL' GROUP BY 1, 2",
+    ),
+    "backfill_runs": _with(
+        *TO_RANGE,
+        select="SELECT CAST(day + 1 AS BIGINT) AS run_id, CAST(DATE '2025-03-01' + day AS DATE) AS run_date, 'SUCCESS' AS status, "
+        "CAST((SELECT count(*) FROM dim_store WHERE is_active) AS SMALLINT) AS files_expected, CAST(count(DISTINCT v.source_file) AS SMALLINT) AS files_processed, "
+        "CAST(NULLIF((SELECT count(*) FROM dim_store WHERE is_active) - count(DISTINCT v.source_file), 0) AS SMALLINT) AS files_missing, "
+        "count(*) AS rows_staged, count(*) FILTER (validation_status = 'PASS') AS rows_passed, count(*) FILTER (validation_status = 'FAIL') AS rows_rejected, "
+        "count(*) FILTER (rejection_reason = 'DUPLICATE') AS rows_duplicates, "
+        "count(*) FILTER (v.stg_id IN (SELECT stg_id FROM fact)) AS rows_loaded FROM validated v GROUP BY day",
+    ),
+    "stream_files_load": _with(*TO_RANGE, select=f"SELECT {FACT_COLUMNS.replace(', source_file', '')} FROM fact"),
+    "stream_hourly_late": "WITH marked AS (SELECT *, event_id % 7 = 0 AND date_trunc('hour', ts) + INTERVAL 1 HOUR <= "
+    "(SELECT max(ts) FROM events WHERE event_id % 7 <> 0) - INTERVAL 1 HOUR AS is_late FROM events) "
+    "SELECT date_trunc('hour', ts) AS hour_start, event_type, is_late, count(*) AS sales, "
+    "CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS value_sum FROM marked GROUP BY 1, 2, 3",
     "stream_load": _with(*TO_FACT, select=f"SELECT {FACT_COLUMNS} FROM fact"),
     "stream_load_mixed": _with(*TO_FACT, select=f"SELECT {FACT_COLUMNS} FROM fact"),
     "stream_hourly_sales": "SELECT date_trunc('hour', ts) AS hour_start, event_type, count(*) AS sales, "

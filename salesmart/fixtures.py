@@ -6,6 +6,8 @@ the way the warehouse itself stores staged rows, validated rows and the fact.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from salesmart.functions import calendar
@@ -13,7 +15,9 @@ from salesmart.operators import dims as dim_ops, load, staging, validate
 from salesmart.operators.dims import Dims
 from salesmart.operators.ids import assign_ids
 from salesmart.plans import quality
-from salesmart.sources.landing import file_name
+from salesmart.schema import POS_COLUMNS
+from salesmart.sources.files import Files
+from salesmart.sources.landing import file_name, parse_file_name
 from salesmart.storage import Scratch
 
 CALENDAR_START, CALENDAR_END = "2024-01-01", "2027-12-31"
@@ -24,6 +28,7 @@ LINE_ORDER = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdat
 
 _tables: dict[tuple[str, str, str], DataFrame] = {}
 _dims: dict[tuple[str, str], Dims] = {}
+_folders: dict[tuple[str, str, str], str] = {}
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -200,3 +205,36 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         return load.to_fact(rows, loaded_at=load_time())
 
     return _once(spark, sf_dir, "fact", build)
+
+
+FILE_START, FILE_DAYS = dt.date(2025, 3, 1), 9
+
+
+def store_files(spark: SparkSession, sf_dir: str) -> str:
+    """All rows of the feed as store files of nine business dates (FIXTURES.md section 4); returns their folder.
+
+    A row's date is its quarter; a resent row comes in the file of the next date. S09 writes UTF-16, S05 its columns
+    in reverse order.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, "files")
+    if key in _folders:
+        return _folders[key]
+    root = Scratch(spark, "files").path
+    store, day = parse_file_name(F.col("source_file"))
+    quarter = F.floor(((F.year(day) - 2024) * 12 + F.month(day) - 1) / 3) + F.when(F.col("stg_id") > 10_000_000, 1).otherwise(0)
+    rows = pos_rows(spark, sf_dir).select(*POS_COLUMNS, quarter.cast("int").alias("day"), store.alias("store"))
+    rows = Scratch(spark, "files").table(rows.repartition("day", "store").sortWithinPartitions("day", "store"), "rows")
+    kinds = {"utf-16": (F.col("store") == "S09", POS_COLUMNS), "back": (F.col("store") == "S05", POS_COLUMNS[::-1]), "plain": (~F.col("store").isin("S05", "S09"), POS_COLUMNS)}
+    files = Files(spark)
+    for kind, (which, columns) in kinds.items():
+        writer = rows.where(which).select(*columns, "day", "store").repartition("day", "store").write.partitionBy("day", "store")
+        options = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "escape": '"', "encoding": "UTF-16" if kind == "utf-16" else "UTF-8"}
+        writer.options(**options).csv(f"{root}/{kind}")
+        for one_day in files.names(f"{root}/{kind}"):
+            for one_store in files.names(f"{root}/{kind}/{one_day}") if one_day.startswith("day=") else ():
+                date = FILE_START + dt.timedelta(days=int(one_day.removeprefix("day=")))
+                for part in files.names(f"{root}/{kind}/{one_day}/{one_store}"):
+                    name = f"{one_store.removeprefix('store=')}_sales_{date}.csv"
+                    files.move(f"{root}/{kind}/{one_day}/{one_store}/{part}", f"{root}/raw/{date}", name)
+    _folders[key] = f"{root}/raw"
+    return _folders[key]

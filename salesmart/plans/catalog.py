@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 
+import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -14,7 +16,7 @@ from salesmart.functions.measures import with_measures
 from salesmart.operators import dims as dim_ops, gates, load, staging, validate
 from salesmart.operators.ids import assign_ids
 from salesmart.plans import marts, quality, runlog
-from salesmart.plans.daily import Settings, validate_and_load
+from salesmart.plans.daily import Settings, backfill_range, clear, validate_and_load
 from salesmart.schema import POS_COLUMNS, RUN_ENDED, RUN_STARTED
 from salesmart.sources import landing
 from salesmart.sources.warehouse import Warehouse
@@ -477,7 +479,7 @@ def sla_report(spark, sf):
     return quality.sla_report(_runs(spark, sf), fx.by_file(spark, sf))
 
 
-# streaming
+# warehouse
 
 
 def _stream_house(spark, sf, place):
@@ -488,6 +490,87 @@ def _stream_house(spark, sf, place):
     return warehouse
 
 
+@query
+def fact_load_two_writers(spark, sf):
+    """All staged rows offered by two writers at once: every sale is loaded by one of them."""
+    place = Scratch(spark, "writers")
+    warehouse = _stream_house(spark, sf, place)
+    rows = fx.staged(spark, sf)
+
+    def load_all(name):
+        own = Warehouse(spark, warehouse.root)
+        return validate_and_load(own, rows, name, Scratch(spark, name), Settings(raw=""))
+
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(load_all, ["run-1", "run-2"]))
+    return warehouse.fact().select(*FACT_COLUMNS)
+
+
+@query
+def clear_staging(spark, sf):
+    """Rejects of fifteen days of load times in a warehouse, cleared at the last of them: what is left in its table."""
+    place = Scratch(spark, "clear")
+    warehouse = _stream_house(spark, sf, place)
+    age = F.make_interval(days=(F.col("stg_id") % 15).cast("int"))
+    rows = place.table(fx.staged(spark, sf).withColumn("load_timestamp", fx.load_time() - age), "aged")
+    validate_and_load(warehouse, rows, "run-1", place, Settings(raw=""))
+    clear(warehouse, Settings(raw=""), "run-1", dt.datetime.fromisoformat(fx.LOAD_TIME))
+    return warehouse.read("rejects").select("stg_id", "validation_status", "rejection_reason", "load_timestamp")
+
+
+_houses: dict[tuple[str, str], Warehouse] = {}
+
+
+def _filled_house(spark, sf):
+    """A warehouse that has loaded all store files of nine dates in one pass; built once per session and data folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _houses:
+        warehouse = Warehouse(spark, f"{Scratch(spark, 'range').path}/warehouse").create()
+        warehouse.write_dims(fx.dims(spark, sf))
+        settings = Settings(raw=fx.store_files(spark, sf), encodings={"S09": "UTF-16"}, retention_days=None)
+        backfill_range(warehouse, settings, fx.FILE_START, fx.FILE_START + dt.timedelta(days=fx.FILE_DAYS - 1))
+        _houses[key] = warehouse
+    return _houses[key]
+
+
+@query
+def backfill_range_(spark, sf):
+    """Nine business dates loaded in one pass; resent rows come a date later."""
+    return _filled_house(spark, sf).fact().select(*FACT_COLUMNS)
+
+
+QUERIES["backfill_range"] = QUERIES.pop("backfill_range_")
+
+
+@query
+def backfill_rejects(spark, sf):
+    """Rejects of the same, by file and reason."""
+    return _filled_house(spark, sf).read("rejects").groupBy("source_file", "rejection_reason").agg(F.count("*").alias("rejected_rows"))
+
+
+@query
+def backfill_runs(spark, sf):
+    """The run log of the same."""
+    house = _filled_house(spark, sf)
+    runs = runlog.summary(runlog.fold(house.read("run_events"), house.read("missing_files")), fx.FILE_DAYS)
+    return runs.drop("duration_seconds", "error_message")
+
+
+@query
+def stream_files_load(spark, sf):
+    """The same files as a stream: encodings by store, columns by each file's own header. Which of two copies comes first is
+    up to the batches, so the file's name is left out."""
+    place = Scratch(spark, "stream-files")
+    warehouse = Warehouse(spark, f"{place.path}/warehouse").create()
+    warehouse.write_dims(fx.dims(spark, sf))
+    rows = ingest.stream_files(spark, fx.store_files(spark, sf), files_per_batch=60)
+    ingest.start_load(rows, warehouse, f"{place.path}/checkpoint", Settings(raw="", encodings={"S09": "UTF-16"})).awaitTermination()
+    return warehouse.fact().select(*[name for name in FACT_COLUMNS if name != "source_file"])
+
+
+# streaming
+
+
 @query
 def stream_load(spark, sf):
     """The staged rows as a file stream, loaded in two micro-batches into an empty warehouse."""
@@ -525,3 +608,17 @@ def stream_hourly_sales(spark, sf):
     totals = rolling.hourly(events, "ts", "event_type", "value")
     rolling.start_hourly(totals, f"{place.path}/totals", f"{place.path}/checkpoint").awaitTermination()
     return rolling.latest(spark, f"{place.path}/totals", ["hour_start", "event_type"], ["sales", "value_sum"])
+
+
+@query
+def stream_hourly_late(spark, sf):
+    """Events in two files, every seventh in the second only: totals of what came in time, and what came too late."""
+    place = Scratch(spark, "late")
+    events = fx.read(spark, sf, "events").select(F.col("event_id").cast("long").alias("event_id"), F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
+    delayed = F.col("event_id") % 7 == 0
+    source = f"{place.path}/events"
+    for part in (~delayed, delayed):
+        events.where(part).coalesce(1).write.mode("append").parquet(source)
+    rows = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    rolling.start_totals(rows, f"{place.path}/totals", f"{place.path}/checkpoint", "ts", "event_type", "value").awaitTermination()
+    return rolling.totals(spark, f"{place.path}/totals", "event_type")

@@ -9,6 +9,7 @@ from salesmart import schema
 from salesmart.operators import staging
 from salesmart.operators.ids import number_lines
 from salesmart.plans.daily import Settings, validate_and_load
+from salesmart.sources import landing
 from salesmart.sources.warehouse import Warehouse
 from salesmart.storage import Scratch
 
@@ -58,9 +59,31 @@ def stream_stores(
     return rows
 
 
+def stream_files(spark: SparkSession, root: str, archive: str | None = None, files_per_batch: int | None = None) -> DataFrame:
+    """Store files below ``root`` as a stream of their places; each is read within its micro-batch, as the daily run reads it.
+
+    So a file's columns are taken by its own header, whatever their order, its store's encoding counts, and one
+    stream takes all stores. With ``archive``, a batch's files move there once a later batch has been committed.
+    """
+    kinds = "path string, modificationTime timestamp, length long, content binary"
+    reader = spark.readStream.format("binaryFile").schema(kinds).option("recursiveFileLookup", True).option("pathGlobFilter", "*_sales_*.csv")
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    store, _ = landing.parse_file_name(F.element_at(F.split("path", "/"), -1))
+    return reader.load(root).select("path", store.alias("store_id")).where("store_id is not null")
+
+
+def read_batch(files: DataFrame, settings: Settings) -> DataFrame | None:
+    """Rows of a micro-batch of ``stream_files``: one row a file comes to the driver, as in the daily run."""
+    places = [(row.path, row.store_id) for row in files.collect()]
+    return landing.read_files(files.sparkSession, places, settings.encodings, settings.line_breaks) if places else None
+
+
 def stage_batch(rows: DataFrame, scratch: Scratch) -> DataFrame:
     """Number the rows of one micro-batch by file and line and stage them."""
-    placed = rows.withColumn("file_row", F.monotonically_increasing_id())
+    placed = rows if "file_row" in rows.columns else rows.withColumn("file_row", F.monotonically_increasing_id())
     return number_lines(scratch.table(staging.stage(placed), "landed"), "stg_id")
 
 
@@ -73,10 +96,10 @@ def start_load(
     name: str = "stream",
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Validate and load every micro-batch of ``rows``.
+    """Validate and load every micro-batch of ``rows`` (of ``stream_files``, ``stream_stores`` or ``stream_pos_csv``).
 
-    A batch writes slices named after the stream and its batch id and ignores its own earlier slice when it looks
-    for loaded ids, so a batch repeated after a failure gives the same tables. ``name`` belongs to the
+    A batch is a load named after the stream and its batch id; repeated after a failure, it replaces its earlier commit
+    and ignores that one's ids, so the tables are the same. ``name`` belongs to the
     ``checkpoint`` that first used it; another stream needs a name of its own. ``trigger`` is for
     ``DataStreamWriter.trigger``; by default what is there is loaded and the query ends.
     """
@@ -86,6 +109,10 @@ def start_load(
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         scratch = Scratch(warehouse.spark, f"batch-{batch_id}")
         try:
+            if "path" in batch.columns:
+                batch = read_batch(batch, settings)
+                if batch is None:
+                    return
             table = scratch.table(batch, "staged") if staged else stage_batch(batch, scratch)
             validate_and_load(warehouse, table, f"{name}-{batch_id}", scratch, settings)
         finally:
