@@ -30,7 +30,7 @@ SEQUENCE = 2048
 UNIT = 256
 END_ID = 1
 #: A worker's table of words, and the longest word it keeps.
-WORDS_KEPT, LONGEST_KEPT = 60_000, 64
+WORDS_KEPT, LONGEST_KEPT = 250_000, 64
 CHUNK_BYTES = 2 << 20
 
 # Letters and digits up to Latin Extended-A. Texts within this range are split here and their words are
