@@ -28,7 +28,7 @@ CHUNK_BYTES = 1 << 22
 #: Texts are read in pieces of about so many characters, and blocks of pieces of about so many together.
 PIECE_CHARS, BLOCK_CHARS = 1 << 18, 1 << 20
 #: A worker keeps the alignment of the segments it met last, at least this many and at most twice as many.
-SEGMENTS_KEPT, LONGEST_KEPT = 60_000, 64
+SEGMENTS_KEPT, LONGEST_KEPT = 150_000, 64
 # A single space between two characters that every engine takes for anything but space: no token of either kind crosses it.
 _SOLID = "[!-~¡-ɏ‐-‧€]|[^\\W_]"
 _CUT = re.compile(f"(?<={_SOLID}) (?={_SOLID})")
