@@ -211,7 +211,7 @@ FILE_START, FILE_DAYS = dt.date(2025, 3, 1), 9
 
 
 def store_files(spark: SparkSession, sf_dir: str) -> str:
-    """All rows of the feed as store files of nine business dates (FIXTURES.md section 4); returns their folder.
+    """All rows of the feed as store files of nine business dates; returns their folder.
 
     A row's date is its quarter; a resent row comes in the file of the next date. S09 writes UTF-16, S05 its columns
     in reverse order.
