@@ -58,11 +58,11 @@ def _pair(role: str, text: str) -> str:
 
 LAYOUTS = (
     Layout("rows", ("turn", "role", "text"), None),
-    Layout("messages", ("messages[].role", "messages[].content"), "transform(messages, m -> named_struct('role', m.role, 'text', m.content))"),
+    Layout("messages", ("messages[].role", "messages[].content"), "transform(filter(messages, x -> x IS NOT NULL), m -> named_struct('role', m.role, 'text', m.content))"),
     Layout(
         "from_value",
         ("conversations[].from", "conversations[].value"),
-        "transform(conversations, m -> named_struct('role', CASE m.from WHEN 'human' THEN 'user' WHEN 'gpt' THEN 'assistant' ELSE m.from END, 'text', m.value))",
+        "transform(filter(conversations, x -> x IS NOT NULL), m -> named_struct('role', CASE m.from WHEN 'human' THEN 'user' WHEN 'gpt' THEN 'assistant' ELSE m.from END, 'text', m.value))",
     ),
     Layout("prompt_response", ("prompt", "response"), f"array({_pair('user', 'prompt')}, {_pair('assistant', 'response')})"),
     Layout("prompt_completion", ("prompt", "completion"), f"array({_pair('user', 'prompt')}, {_pair('assistant', 'completion')})"),
@@ -109,7 +109,9 @@ def canonical_turns(df: DataFrame, id_column: str = "conv_id", layouts=LAYOUTS)
 def canonical_json(df: DataFrame, json_column: str, id_column: str = "conv_id", layouts=LAYOUTS) -> DataFrame:
     """The same for JSON texts whose layout differs from row to row, chosen by each row's own fingerprint.
 
-    Rows that are no JSON object, or of a layout nobody declared, give no turns; ``json_layouts`` counts them.
+    Of a row's paths those count that some layout names, over all elements of its lists, as ``select_layout`` does with columns: further
+    keys and null messages do not matter. Rows that are no JSON object, or of a layout nobody declared, give no turns;
+    ``json_layouts`` counts them.
     """
     read = F.col("_row")
     parts = []
@@ -121,7 +123,7 @@ def canonical_json(df: DataFrame, json_column: str, id_column: str = "conv_id",
             top, _, leaf = path.partition("[].")
             fields.setdefault(top, set()).add(leaf)
         ddl = ", ".join(f"`{top}` " + (f"array<struct<{', '.join(f'`{x}`: string' for x in sorted(leaves))}>>" if leaves != {""} else "string") for top, leaves in fields.items())
-        sub = df.select(F.col(id_column).alias("_id"), F.col(json_column).alias("_json")).where(_json_key(F.col("_json")) == layout.key)
+        sub = df.select(F.col(id_column).alias("_id"), F.col(json_column).alias("_json")).where(_json_layout(F.col("_json"), layouts) == layout.name)
         sub = sub.select("_id", F.from_json("_json", ddl).alias("_row")).where(read.isNotNull()).select("_id", "_row.*")
         parts.append(canonical_turns(sub.withColumnRenamed("_id", "conv_id"), "conv_id", (layout,)))
     result = parts[0]
@@ -132,21 +134,32 @@ def canonical_json(df: DataFrame, json_column: str, id_column: str = "conv_id",
 
 def json_layouts(df: DataFrame, json_column: str, layouts=LAYOUTS) -> DataFrame:
     """Rows per layout; null for rows of no declared layout."""
-    names = F.create_map(*[F.lit(x) for layout in layouts for x in (layout.key, layout.name)])
-    return df.groupBy(F.try_element_at(names, _json_key(F.col(json_column))).alias("layout")).count()
+    return df.groupBy(_json_layout(F.col(json_column), layouts).alias("layout")).count()
 
 
-def _json_key(json: Column) -> Column:
-    """Fingerprint of one JSON text: its top-level keys, and the keys inside its lists of objects."""
-    keys = F.json_object_keys(json)
+def _json_layout(json: Column, layouts) -> Column:
+    """Name of the layout whose fingerprint a JSON text has, else of the fitting one with most paths, else null."""
+    layouts = [layout for layout in layouts if layout.turns is not None]
+    lists = sorted({path.partition("[].")[0] for layout in layouts for path in layout.paths if "[]." in path})
+    known = sorted({path for layout in layouts for path in layout.paths})
+    tops = F.coalesce(F.json_object_keys(json), F.array().cast("array<string>"))
 
-    def paths(key: Column) -> Column:
-        first = F.call_function("get_json_object", json, F.concat(F.lit("$['"), key, F.lit("'][0]")))
-        inner = F.json_object_keys(first)
-        return F.when(inner.isNull(), F.array(key)).otherwise(F.transform(inner, lambda leaf: F.concat(key, F.lit("[]."), leaf)))
+    def inside(top: str) -> Column:
+        elements = F.from_json(F.get_json_object(json, f"$.{top}"), "array<map<string,string>>")
+        keys = F.flatten(F.transform(F.filter(elements, lambda x: x.isNotNull()), F.map_keys))
+        paths = F.transform(keys, lambda key: F.concat(F.lit(f"{top}[]."), key))
+        return F.coalesce(paths, F.array().cast("array<string>"))
 
-    joined = F.array_join(F.array_sort(F.flatten(F.transform(keys, paths))), "\n")
-    return F.sha2(joined, 256)
+    found = [tops, *map(inside, lists)]
+    present = F.array_intersect(F.array(*map(F.lit, known)), F.concat(*found))  # in the order of ``known``
+    names = F.create_map(*[F.lit(x) for layout in layouts for x in (layout.key, layout.name)])
+    exact = F.try_element_at(names, F.sha2(F.array_join(present, "\n"), 256))
+    # sorting is stable: of layouts with as many paths the first declared one
+    fitting = [
+        F.when(F.size(F.array_intersect(present, F.array(*map(F.lit, layout.paths)))) == len(layout.paths), layout.name)
+        for layout in sorted(layouts, key=lambda layout: -len(layout.paths))
+    ]
+    return F.coalesce(exact, *fitting)
 
 
 def escape(text: Column, marks: str = r"\\#<") -> Column:
@@ -158,7 +171,8 @@ def format_turns(turns: DataFrame) -> DataFrame:
 
     Formatted texts of a conversation, joined in order of turn, are the training text. Only assistant
     texts are under the loss. A null role or text is empty. Turns of equal number follow each other by
-    role and text; rows of a null conversation are one conversation.
+    role and text; rows of a null conversation are one conversation. An empty table gives no rows; other columns play no
+    part and are left out.
     """
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     head = F.concat(F.lit(OPEN), escape(role, r"\\#<:"), F.lit(BETWEEN))
@@ -200,7 +214,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
     """Per conversation: turns, their digest, and what lies under the loss mask, parsed from the output.
 
     A digest needs the turns in order, so a conversation is read by one task, but as a stream of sorted
-    rows: memory stays within a batch however long it is.
+    rows: memory stays within a batch however long it is. An empty table gives no rows; other columns play no part.
     """
 
     def digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -186,7 +186,8 @@ def identify(documents: DataFrame, per_language: int = DOCUMENTS_PER_LANGUAGE) -
 
     Trees learn from rows that are not held out and have a language; lang plays no part in a prediction.
     A null text or one without letters is ``und`` with score 0, and so is every text when there is no language to
-    learn. Equal code lengths go to the first language name. Repeated rows get equal results.
+    learn. Equal code lengths go to the first language name. Repeated rows get equal results. An empty table gives no rows;
+    other columns play no part.
     """
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     predicted = predictor(documents.sparkSession, rows.where(~held_out(F.col("doc_id"))), per_language)

@@ -483,14 +483,22 @@ def test_json_rows_choose_their_own_layout(spark):
         {"conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": "a"}]},
         {"output": "a", "instruction": "q"},
         {"other": 1},
+        {"id": 7, "source": {"x": [1]}, "prompt": "q", "response": "a"},
+        {"messages": [None, {"role": "user", "content": "q", "time": 1}, {"content": "a", "role": "assistant"}], "meta": None},
+        {"messages": [{"role": "user"}, {"content": "q"}], "prompt": "q", "response": "a"},
+        {"messages": [], "prompt": None, "response": "a", "system": "s"},
+        {"messages": "text"},
+        [1, 2],
     ]
-    made = spark.createDataFrame([(i, json.dumps(line)) for i, line in enumerate(lines)] + [(9, "no json"), (10, None)], "conv_id long, line string")
+    made = spark.createDataFrame([(i, json.dumps(line)) for i, line in enumerate(lines)] + [(90, "no json"), (91, None)], "conv_id long, line string")
     got = defaultdict(list)
     for row in chat.canonical_json(made, "line").orderBy("conv_id", "turn").collect():
         got[row.conv_id].append((row.role, row.text))
-    assert got == {i: [("user", "q"), ("assistant", "a")] for i in range(4)}
+    plain = [("user", "q"), ("assistant", "a")]
+    third = [("user", None), (None, "q")]  # equally many paths: the layout declared first
+    assert got == {i: plain for i in (0, 1, 2, 3, 5, 6)} | {7: third, 8: [("system", "s"), ("user", None), ("assistant", "a")]}
     counts = {row.layout: row["count"] for row in chat.json_layouts(made, "line").collect()}
-    assert counts == {"prompt_response": 1, "messages": 1, "from_value": 1, "instruction_only": 1, None: 3}
+    assert counts == {"prompt_response": 2, "messages": 3, "from_value": 1, "instruction_only": 1, "system_prompt": 1, None: 5}
 
 
 # 8 language
