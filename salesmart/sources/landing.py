@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import codecs
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from salesmart.schema import POS_COLUMNS
+from salesmart.sources.files import Files
 
 # Fixed pattern: <store_id>_sales_<yyyy-mm-dd>.csv
 FILE_NAME = r"^(.+?)_sales_(\d{4}-\d{2}-\d{2})\.csv$"
-# Headers are read by so many small Spark jobs at a time.
+# Headers are read by so many threads at a time, and where they need the parser by as many small jobs.
 HEADER_JOBS = 16
 
 
@@ -72,6 +74,27 @@ def read_header(spark: SparkSession, path: str, encoding: str, line_breaks: bool
     return [name.strip("\r\n").removeprefix("\ufeff") for name in names]
 
 
+def plain_header(files: Files, path: str, encoding: str) -> list[str] | None:
+    """The names in a file's first line, from its first bytes; None where that takes a parser: quotes, a blank first
+    line, line ends of another kind, or an encoding that is not known here."""
+    size = 4096
+    while True:
+        head = files.head(path, size)
+        try:
+            text = codecs.getincrementaldecoder(encoding)().decode(head)
+        except (LookupError, UnicodeError):
+            return None
+        line, end, _ = text.partition("\n")
+        if end or len(head) < size:
+            line = line.removesuffix("\r").removeprefix("\ufeff")
+            return None if not line.strip() or '"' in line or "\r" in line else line.split(",")
+        size *= 16
+
+
+def header_of(spark: SparkSession, files: Files, path: str, encoding: str, line_breaks: bool) -> tuple[str, ...]:
+    return tuple(plain_header(files, path, encoding) or read_header(spark, path, encoding, line_breaks))
+
+
 def read_pos_csv(spark: SparkSession, paths: list[str], encoding: str = "UTF-8", line_breaks: bool = True) -> DataFrame:
     """Rows of the files with the eleven columns taken by header name, whatever their order.
 
@@ -79,8 +102,9 @@ def read_pos_csv(spark: SparkSession, paths: list[str], encoding: str = "UTF-8",
     ``file_block`` and ``file_row`` order the lines of a file. ``line_breaks=False`` lets Spark split big files
     between tasks; use it where no field holds a line break.
     """
+    files = Files(spark)
     with ThreadPoolExecutor(HEADER_JOBS) as pool:
-        headers = list(pool.map(lambda path: tuple(read_header(spark, path, encoding, line_breaks)), paths))
+        headers = list(pool.map(lambda path: header_of(spark, files, path, encoding, line_breaks), paths))
     by_header: dict[tuple[str, ...], list[str]] = {}
     for path, header in zip(paths, headers):
         by_header.setdefault(header, []).append(path)

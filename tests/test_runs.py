@@ -131,6 +131,22 @@ def test_lone_carriage_returns_and_blank_lines_do_not_depend_on_block_size(spark
     assert [row[5] for row in want if row[1] and row[1].endswith("00002")] == ["a\rb"]
 
 
+def test_headers_need_no_job_unless_they_need_the_parser(spark, tmp_path):
+    from salesmart.sources.files import Files
+
+    cases = {"plain": "a,b ,c\r\n1,2,3\n", "no end": "a,b", "long": ",".join(f"name_{i}" for i in range(3000)) + "\nx"}
+    parsed = {"quoted": 'a,"b"\n1', "blank": "\na,b\n", "mac": "a,b\r1,2\r", "empty": ""}
+    for encoding in ("utf-8", "utf-16", "utf-8-sig"):
+        for name, text in (cases | parsed).items():
+            path = tmp_path / f"{name}.csv"
+            path.write_bytes(text.encode(encoding))
+            got = landing.plain_header(Files(spark), f"file:{path}", encoding)
+            assert got == (None if name in parsed else text.splitlines()[0].split(","))
+            if got and encoding != "utf-8-sig":
+                assert landing.read_header(spark, f"file:{path}", encoding) == got
+    assert landing.plain_header(Files(spark), f"file:{path}", "no-such-encoding") is None
+
+
 def test_arrivals_and_missing_files(spark, tmp_path, dims):
     write(tmp_path, "S01", [sale("S01", 1)])
     (tmp_path / str(DAY) / "notes.txt").write_text("x")
