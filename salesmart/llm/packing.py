@@ -30,7 +30,7 @@ SEQUENCE = 2048
 UNIT = 256
 END_ID = 1
 #: A worker's table of words, and the longest word it keeps.
-WORDS_KEPT, LONGEST_KEPT = 250_000, 64
+WORDS_KEPT, LONGEST_KEPT = 140_000, 64
 CHUNK_BYTES = 2 << 20
 
 # Letters and digits up to Latin Extended-A. Texts within this range are split here and their words are
@@ -54,7 +54,7 @@ class Words(dict):
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [byte for byte in range(256) if byte not in shown]
         self.shown = {byte: byte for byte in shown} | {byte: 256 + n for n, byte in enumerate(hidden)}
-        self.piece = lru_cache(WORDS_KEPT // 2)(self._piece)
+        self.piece = lru_cache(WORDS_KEPT // 3)(self._piece)
 
     def _piece(self, piece: str) -> bytes:
         letters = piece.encode().decode("latin-1").translate(self.shown)
