@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from salesmart.llm import kernels
-from salesmart.llm.tasks import ship, tidy, worker_cache
+from salesmart.llm.tasks import release, ship, small_batches, tidy, worker_cache
 from salesmart.operators.lookups import is_small
 from salesmart.storage import Scratch
 
@@ -81,6 +81,7 @@ def encoder(tokenizer_json: str):
         tokenizer = Tokenizer.from_str(tokenizer_json)
         tokenizer.encode_special_tokens = True
         cache |= {"tokenizer": tokenizer, "words": Words(tokenizer), "by_word": splits_like_piece(tokenizer_json)}
+        release()  # what reading the vocabulary took
     tokenizer, by_word, look_up = cache["tokenizer"], cache["by_word"], cache["words"].__getitem__
 
     def encode(text: str) -> bytes:
@@ -171,7 +172,8 @@ def pack(
     """
     if sequence % unit:
         raise ValueError("a sequence must hold a whole number of units")
-    docs = scratch.table(tokenized(documents, tokenizer_json, unit).withColumn("_row", F.monotonically_increasing_id()), "tokens")
+    with small_batches(documents.sparkSession):
+        docs = scratch.table(tokenized(documents, tokenizer_json, unit).withColumn("_row", F.monotonically_increasing_id()), "tokens")
     docs = docs.select("*", F.size("crcs").cast("long").alias("units"), (F.octet_length("rest") / 4).cast("long").alias("left"))
     queued = running(docs, ["source"], ["doc_id", "_row"], {"first_unit": F.col("units"), "first_left": F.col("left")}, scratch, "queues")
     share = F.lit(1.0)

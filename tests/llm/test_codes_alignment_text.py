@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from check import connect, difference
 from conftest import SMALL
 from salesmart.llm import alignment, dom, main_text, queries, trees, vector_codes
+from salesmart.storage import Scratch
 
 # vector codes
 
@@ -351,3 +352,45 @@ def test_word_tables_forget_without_changing_ids(monkeypatch):
     for word in "the cat's 42nd sat-on $$$% the über the mat cat's the ärger".split() * 3:
         assert np.frombuffer(words[word], np.uint32).tolist() == model.encode(word, add_special_tokens=False).ids
     assert len(words) <= 3 and len(words.older) <= 3
+
+
+def test_packing_passes_small_batches(spark, scratch):
+    """A task gets some 4 MB of text at a time, whatever the number of rows, and the session's setting is as before."""
+    from salesmart.llm import packing, tasks
+
+    name, seen = "spark.sql.execution.arrow.maxBytesPerBatch", {}
+    texts = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.lit("a").alias("source"), F.concat("id", F.repeat(F.lit(" word"), 1000)).alias("text"))
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["size"])
+
+    with tasks.small_batches(spark):
+        held = [row.size for row in texts.mapInArrow(sizes, "size long").collect()]
+    assert len(held) > 2 and max(held) < 5 << 20
+
+    class Watched(Scratch):
+        def table(self, df, name_, **options):
+            seen[name_] = spark.conf.get(name)
+            return super().table(df, name_, **options)
+
+    before = spark.conf.get(name)
+    rows = packing.pack(texts.limit(20), queries.tokenizer_json(), Watched(spark, "watched"))
+    assert seen["tokens"] == "4m" and spark.conf.get(name) == before == seen["queues"]
+    assert rows.agg(F.sum("length")).first()[0] == rows.select("doc_id", "doc_tokens").distinct().agg(F.sum("doc_tokens")).first()[0]
+
+
+def test_a_new_large_cache_takes_the_place_of_all_others(monkeypatch):
+    import sys
+
+    from salesmart.llm import tasks
+
+    monkeypatch.setitem(sys.modules["__main__"].__dict__, "_salesmart_caches", {})
+    tasks.worker_cache("powers")["x"] = 1
+    tasks.worker_cache("first", large=True)["x"] = 2
+    tasks.worker_cache("powers")["x"] = 3
+    assert tasks.worker_cache("first", large=True) == {"x": 2} and tasks.worker_cache("powers") == {"x": 3}
+    assert tasks.worker_cache("second", large=True) == {} == tasks.worker_cache("powers")
+    assert set(sys.modules["__main__"]._salesmart_caches) == {("second", True), ("powers", False)}
