@@ -15,7 +15,7 @@ from salesmart.storage import Scratch
 
 def language(spark, docs, sf_dir):
     """Documents whose language is known."""
-    return langid.kept_documents(docs)
+    return langid.kept_documents(docs, Scratch(spark, "pipeline-language"))
 
 
 def good(spark, docs, sf_dir):

@@ -17,7 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from salesmart.llm import kernels
-from salesmart.llm.tasks import ship, tidy, worker_cache
+from salesmart.llm.tasks import ship, small_batches, tidy, worker_cache
+from salesmart.storage import Scratch
 
 ORDER = 3
 CHUNK_BYTES = 2 << 20
@@ -137,7 +138,8 @@ def _prepared(model: dict) -> dict:
 
 def predictor(spark, training: DataFrame, per_language: int = DOCUMENTS_PER_LANGUAGE):
     """Fit on ``training`` (doc_id, lang, text) and return a function that adds lang_pred and score to texts."""
-    model = fit(gram_counts(sample(training.select("doc_id", "lang", "text"), per_language)))
+    with small_batches(spark):
+        model = fit(gram_counts(sample(training.select("doc_id", "lang", "text"), per_language)))
     shipped = spark.sparkContext.broadcast(model)
     token = uuid.uuid4().hex
 
@@ -194,9 +196,14 @@ def identify(documents: DataFrame, per_language: int = DOCUMENTS_PER_LANGUAGE) -
     return predicted(rows.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out")))
 
 
-def kept_documents(documents: DataFrame, least_score: float = 0.5, per_language: int = DOCUMENTS_PER_LANGUAGE) -> DataFrame:
-    """The rows of ``documents`` whose language is told with at least ``least_score``, with all their columns."""
+def kept_documents(documents: DataFrame, scratch: Scratch, least_score: float = 0.5, per_language: int = DOCUMENTS_PER_LANGUAGE) -> DataFrame:
+    """The rows of ``documents`` whose language is told with at least ``least_score``, with all their columns.
+
+    They are written here, since small Arrow batches hold only for what runs meanwhile: each row carries its text twice.
+    """
     training = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     predicted = predictor(documents.sparkSession, training.where(~held_out(F.col("doc_id"))), per_language)
     whole = F.struct(*[F.col(f"`{name}`") for name in documents.columns]).alias("_document")
-    return predicted(documents.select(whole, "text")).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select("_document.*")
+    kept = predicted(documents.select(whole, "text")).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select("_document.*")
+    with small_batches(documents.sparkSession):
+        return scratch.table(kept, "kept")

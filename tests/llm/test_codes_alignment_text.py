@@ -394,3 +394,36 @@ def test_a_new_large_cache_takes_the_place_of_all_others(monkeypatch):
     assert tasks.worker_cache("first", large=True) == {"x": 2} and tasks.worker_cache("powers") == {"x": 3}
     assert tasks.worker_cache("second", large=True) == {} == tasks.worker_cache("powers")
     assert set(sys.modules["__main__"]._salesmart_caches) == {("second", True), ("powers", False)}
+
+
+def test_language_passes_small_batches(spark):
+    """While the trees are fitted and the kept documents written; the session's setting is as before, and nothing else changes."""
+    from salesmart.llm import langid
+
+    name, seen = "spark.sql.execution.arrow.maxBytesPerBatch", {}
+
+    class Watched(Scratch):
+        def table(self, df, name_, **options):
+            seen[name_] = spark.conf.get(name)
+            return super().table(df, name_, **options)
+
+    said = {"en": "the house of the man who went there ", "de": "das haus des mannes der dorthin ging "}
+    rows = [(n, said[lang] * 5 + str(n), lang, "a", n) for n, lang in enumerate(["en", "de"] * 20)] + [(40, None, "en", "a", 1), (41, "123", None, "b", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    before = spark.conf.get(name)
+    kept = langid.kept_documents(docs, Watched(spark, "watched-language"))
+    assert seen == {"kept": "4m"} and spark.conf.get(name) == before
+    assert kept.schema == docs.schema and sorted(map(tuple, kept.collect())) == rows[:40]
+
+
+def test_a_new_large_cache_gives_memory_back_first(monkeypatch):
+    import sys
+
+    from salesmart.llm import tasks
+
+    left = []
+    monkeypatch.setitem(sys.modules["__main__"].__dict__, "_salesmart_caches", {("old", True): {"x": 1}})
+    monkeypatch.setattr(tasks, "release", lambda: left.append(dict(sys.modules["__main__"]._salesmart_caches)))
+    tasks.worker_cache("new", large=True)
+    tasks.worker_cache("new", large=True)
+    assert left == [{}]
