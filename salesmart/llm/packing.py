@@ -16,7 +16,6 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -38,13 +37,14 @@ CHUNK_BYTES = 2 << 20
 _LETTERS = "a-zA-Z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f"
 _DIGITS = "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
 _PLAIN = re.compile("[\\t\\n\\r\\x20-\\x7e\u00a1-\u017f]*")
-_PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^\\s{_LETTERS}{_DIGITS}]+")
+# letters first: no other kind of piece begins with one
+_PIECE = re.compile(f"[{_LETTERS}]+|[{_DIGITS}]|'s|'t|'re|'ve|'m|'ll|'d|[^\\s{_LETTERS}{_DIGITS}]+")
 
 
 class Words(dict):
-    """Token ids of what stands between white space, as packed unsigned 32-bit integers, worked out on first use.
+    """Token ids of what stands between white space and of its pieces, as packed unsigned 32-bit integers, worked out on first use.
 
-    The words met last stay: a full table becomes the older one, from which words that come again are taken back.
+    What was met last stays: a full table becomes the older one, from which words that come again are taken back.
     """
 
     def __init__(self, tokenizer):
@@ -54,16 +54,17 @@ class Words(dict):
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [byte for byte in range(256) if byte not in shown]
         self.shown = {byte: byte for byte in shown} | {byte: 256 + n for n, byte in enumerate(hidden)}
-        self.piece = lru_cache(WORDS_KEPT // 3)(self._piece)
 
-    def _piece(self, piece: str) -> bytes:
-        letters = piece.encode().decode("latin-1").translate(self.shown)
+    def piece(self, piece: str) -> bytes:
+        plain = piece.isascii() and piece.isprintable()  # shown as they are
+        letters = piece if plain else piece.encode().decode("latin-1").translate(self.shown)
         return array("I", [token.id for token in self.model.tokenize(letters)]).tobytes()
 
     def __missing__(self, word: str) -> bytes:
         ids = self.older.get(word)
         if ids is None:
-            ids = b"".join(map(self.piece, _PIECE.findall(word)))
+            pieces = [word] if word.isalpha() else _PIECE.findall(word)
+            ids = self.piece(word) if len(pieces) == 1 else b"".join(map(self.__getitem__, pieces))
         if len(word) <= LONGEST_KEPT:
             if len(self) >= WORDS_KEPT:
                 self.older = dict(self)

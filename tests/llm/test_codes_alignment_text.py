@@ -427,3 +427,25 @@ def test_a_new_large_cache_gives_memory_back_first(monkeypatch):
     tasks.worker_cache("new", large=True)
     tasks.worker_cache("new", large=True)
     assert left == [{}]
+
+
+def test_words_and_their_pieces_share_a_table(monkeypatch):
+    """A piece goes to the model once while the table holds it, whatever stands beside it and however many others came between."""
+    from tokenizers import Tokenizer
+
+    from salesmart.llm import packing
+
+    monkeypatch.setattr(packing, "WORDS_KEPT", 12)
+    tokenizer, asked = Tokenizer.from_str(queries.tokenizer_json()), []
+
+    class Counted:
+        def tokenize(self, letters):
+            asked.append(letters)
+            return tokenizer.model.tokenize(letters)
+
+    words = packing.Words(tokenizer)
+    words.model = Counted()
+    text = "house one two three four five six house, (house) house's 'tis 4you x''s"
+    ids = [np.frombuffer(words[word], np.uint32).tolist() for word in text.split()]
+    assert ids == [tokenizer.encode(word, add_special_tokens=False).ids for word in text.split()]
+    assert max(Counter(asked).values()) == 1 and len(words) <= 12 and len(words.older) <= 12
