@@ -44,7 +44,7 @@ def joined(texts: pa.Array, lead: int, fold: bool = True) -> tuple[np.ndarray, n
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     cache = worker_cache("powers")
     if len(cache.get("up", ())) < n:
-        size = ((int(n) >> 20) + 1) << 20
+        size = ((int(n) >> 16) + 1) << 16
         for name, base in (("up", _BASE), ("down", _BASE_INVERSE)):
             steps = np.full(size, base, np.uint64)
             steps[0] = 1

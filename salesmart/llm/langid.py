@@ -21,7 +21,7 @@ from salesmart.llm.tasks import ship, small_batches, tidy, worker_cache
 from salesmart.storage import Scratch
 
 ORDER = 3
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 #: The trees are fitted on at most so many documents per language, those with the smallest hashes.
 DOCUMENTS_PER_LANGUAGE = 1500
 #: Counts of at most so many languages are broadcast (a row each).

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from salesmart.llm import graphs, kernels
-from salesmart.llm.tasks import ship, tidy, worker_cache
+from salesmart.llm.tasks import ship, small_batches, tidy, worker_cache
 from salesmart.operators.lookups import is_small
 from salesmart.storage import Scratch
 
@@ -37,7 +37,7 @@ COUNTERS = 1 << 20
 SLICE = 1 << 16
 BLOCK = 400
 HOT_BUCKET = 50_000
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 _DRAWS = 1 << 16
 
 
@@ -240,6 +240,11 @@ def classes(documents: DataFrame, scratch: Scratch, similar: float = SIMILAR) ->
     Rows that repeat doc_id and text are one entry with ``n_rows`` rows. class_id is the smallest doc_id of the class
     (null only if all are null). An empty table gives no rows.
     """
+    with small_batches(documents.sparkSession):  # all that passes Arrow is written in here
+        return _classes(documents, scratch, similar)
+
+
+def _classes(documents: DataFrame, scratch: Scratch, similar: float) -> DataFrame:
     spark = documents.sparkSession
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.unhex(F.md5(text)).alias("text_key"))

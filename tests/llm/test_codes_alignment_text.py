@@ -449,3 +449,33 @@ def test_words_and_their_pieces_share_a_table(monkeypatch):
     ids = [np.frombuffer(words[word], np.uint32).tolist() for word in text.split()]
     assert ids == [tokenizer.encode(word, add_special_tokens=False).ids for word in text.split()]
     assert max(Counter(asked).values()) == 1 and len(words) <= 12 and len(words.older) <= 12
+
+
+def test_near_duplicates_pass_small_batches(spark):
+    """While anything with texts is written; the session's setting is as before, and so are the classes."""
+    from salesmart.llm import near_dup
+
+    name, seen = "spark.sql.execution.arrow.maxBytesPerBatch", {}
+
+    class Watched(Scratch):
+        def table(self, df, name_, **options):
+            seen[name_] = spark.conf.get(name)
+            return super().table(df, name_, **options)
+
+    text = " ".join(f"word{n}" for n in range(60))
+    docs = spark.createDataFrame([(1, text), (2, text), (3, text + " more"), (4, "another text of a few words"), (5, None)], "doc_id long, text string")
+    before = spark.conf.get(name)
+    rows = near_dup.near_duplicates(docs, Watched(spark, "watched-near"))
+    assert {seen[x] for x in ("frequencies", "sketches", "links")} == {"4m"} and spark.conf.get(name) == before
+    assert {row.doc_id: row.class_id for row in rows.collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5}
+
+
+def test_word_hashes_keep_a_table_little_longer_than_the_buffer(monkeypatch):
+    import sys
+
+    from salesmart.llm import kernels, tasks
+
+    monkeypatch.setitem(sys.modules["__main__"].__dict__, "_salesmart_caches", {})
+    hashes = kernels.words(np.frombuffer(b"one two " * (1 << 17), np.uint8))[1]
+    assert len(set(hashes.tolist())) == 2
+    assert all(len(table) <= (1 << 20) + (1 << 16) for table in tasks.worker_cache("powers").values())
