@@ -20,13 +20,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from salesmart.llm import kernels
-from salesmart.llm.tasks import ship, tidy, worker_cache
+from salesmart.llm.tasks import ship, small_batches, tidy, worker_cache
 from salesmart.storage import Scratch
 
 DEPTH = 4
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 MOST_NODES = 1 << 21  # 32 MB of broadcast keys, estimates and shares; all other nodes are joined
 MOST_WORDS = 1 << 20  # 16 MB of broadcast word counts
+COUNTS_HELD = 1 << 20  # rows of counts that a task adds up before it hands them on
+CODES_KEPT = 1 << 19  # grams whose code lengths a worker keeps
 END_WORD = -1  # hash value that stands for the end token
 _GRAM, _WORD = 0, 1
 
@@ -36,10 +38,20 @@ def held_out(doc_id: Column, part: int = 10, remainder: int = 0) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % part == remainder
 
 
+def added(tables: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of several (keys, n), in order, and the sums of their n."""
+    keys, n = (np.concatenate(x) for x in zip(*tables))
+    order = np.argsort(keys, kind="stable")  # merges what is in order already
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(n, first)
+
+
 def counted(training: DataFrame, depth: int = DEPTH) -> DataFrame:
     """(kind, key, n): counts of grams and of words by hash over all texts of ``training``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = {_GRAM: [], _WORD: []}
         for batch in batches:
             for part in kernels.chunks(batch, "text", CHUNK_BYTES):
                 buffer, starts, ends = kernels.joined(part.column("text"), depth)
@@ -47,11 +59,22 @@ def counted(training: DataFrame, depth: int = DEPTH) -> DataFrame:
                 for lead in range(1, depth + 1):
                     inside[starts - lead] = False
                 distinct, index = kernels.grams(buffer, np.flatnonzero(inside), depth + 1)
-                words, n_words = np.unique(kernels.words(buffer)[1].view(np.int64), return_counts=True)
-                keys = np.concatenate([distinct.view(np.int64), words, [END_WORD]])
-                n = np.concatenate([np.bincount(index, minlength=len(distinct)), n_words, [len(starts)]])
-                kind = np.repeat(np.array([_GRAM, _WORD], np.int8), [len(distinct), len(words) + 1])
-                yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(keys), pa.array(n)], names=["kind", "key", "n"])
+                held[_GRAM].append((distinct.view(np.int64), np.bincount(index, minlength=len(distinct))))
+                held[_WORD] += [np.unique(kernels.words(buffer)[1].view(np.int64), return_counts=True), (np.array([END_WORD]), np.array([len(starts)]))]
+                for kind, tables in held.items():
+                    if sum(len(keys) for keys, _ in tables) > COUNTS_HELD:
+                        tables[:] = [added(tables)]
+                        if len(tables[0][0]) > COUNTS_HELD // 2:
+                            yield from rows(kind, *tables.pop())
+        for kind, tables in held.items():
+            if tables:
+                yield from rows(kind, *added(tables))
+
+    def rows(kind: int, keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(keys), 1 << 17):
+            here = slice(at, at + (1 << 17))
+            kinds = np.full(len(keys[here]), kind, np.int8)
+            yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(keys[here]), pa.array(n[here])], names=["kind", "key", "n"])
 
     return training.select("text").mapInArrow(tidy(count), "kind byte, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
@@ -169,6 +192,28 @@ def _slot(k: int, d: int, depth: int) -> int:
     return k * (depth + 1) + d
 
 
+def _kept_code_lengths(grams: np.ndarray, cache: dict, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """``_code_lengths`` of distinct grams in order; a worker works out a gram once while ``cache`` keeps it.
+
+    When more than ``CODES_KEPT`` would be kept, those of ``grams`` alone stay.
+    """
+    kept, bits, short = cache.get("codes") or (np.zeros(0, np.uint64), np.zeros(0), np.zeros(0, bool))
+    at = np.searchsorted(kept, grams)
+    known = at < len(kept)
+    known[known] = kept[at[known]] == grams[known]
+    new = grams[~known]
+    new_bits, new_short = _code_lengths(new, cache, depth)
+    own_bits, own_short = np.empty(len(grams)), np.empty(len(grams), bool)
+    own_bits[known], own_short[known] = bits[at[known]], short[at[known]]
+    own_bits[~known], own_short[~known] = new_bits, new_short
+    if len(kept) + len(new) > CODES_KEPT:
+        cache["codes"] = grams, own_bits, own_short
+    elif len(new):
+        place = at[~known]
+        cache["codes"] = np.insert(kept, place, new), np.insert(bits, place, new_bits), np.insert(short, place, new_short)
+    return own_bits, own_short
+
+
 def scored(documents: DataFrame, scratch: Scratch, training: Column, depth: int = DEPTH) -> DataFrame:
     """Word-count base and model score for every row of ``documents``, learning from rows where ``training`` holds.
 
@@ -182,7 +227,8 @@ def scored(documents: DataFrame, scratch: Scratch, training: Column, depth: int
     """
     spark = documents.sparkSession
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), training.alias("_training"))
-    counts = scratch.table(counted(rows.where("_training"), depth), "counts")
+    with small_batches(spark):
+        counts = scratch.table(counted(rows.where("_training"), depth), "counts")
     nodes = node_table(counts.where(F.col("kind") == _GRAM), scratch, depth)
     nodes = scratch.table(nodes, "nodes")
     least_node = _least_count(nodes, MOST_NODES)
@@ -215,7 +261,7 @@ def scored(documents: DataFrame, scratch: Scratch, training: Column, depth: int
                     inside[starts - lead] = False
                 places = np.flatnonzero(inside)
                 distinct_grams, index = kernels.grams(buffer, places, depth + 1)
-                bits, short = _code_lengths(distinct_grams, cache, depth)
+                bits, short = _kept_code_lengths(distinct_grams, cache, depth)
                 later = (short & (least_node > 0))[index]  # without other nodes, what is not found does not exist
                 bits = np.where(later, 0.0, bits[index])
                 by_text = kernels.by_text(places, starts)
@@ -269,7 +315,8 @@ def scored(documents: DataFrame, scratch: Scratch, training: Column, depth: int
                 yield pa.RecordBatch.from_arrays([part.column("gram"), pa.array(bits)], names=["gram", "bits"])
 
     schema = "doc_id long, training boolean, n_tokens long, n_listed long, logs double, score double, rare array<long>, later array<long>"
-    texts = scratch.table(rows.mapInArrow(tidy(score), schema).withColumn("_row", F.monotonically_increasing_id()), "texts")
+    with small_batches(spark):
+        texts = scratch.table(rows.mapInArrow(tidy(score), schema).withColumn("_row", F.monotonically_increasing_id()), "texts")
     # words that are not in the broadcast table: a word is rare, so no key of this join is hot
     rare = texts.select("_row", F.explode("rare").alias("key")).groupBy("_row", "key").agg(F.count("*").alias("_times"))
     rare = rare.join(words.where(F.col("n") < least), "key", "left") if least > 1 else rare.withColumn("n", F.lit(None).cast("long"))

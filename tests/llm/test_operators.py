@@ -625,3 +625,45 @@ def test_weights_hold_and_moves_stay_in_changed_subtrees(spark):
     # rack a gained weight, and with it its region: rows come into the region, and inside it only into rack a
     moved = [row for row in rows if row.inside != row.base]
     assert moved and all(row.inside in (0, 1) or row.base == 3 and row.inside == 2 for row in moved)
+
+
+def test_a_worker_codes_a_gram_once(monkeypatch):
+    """Kept code lengths equal those worked out anew, within the limit and beyond it, for all chunks."""
+    rng, asked = np.random.default_rng(5), Counter()
+    plain = ctw._code_lengths
+    keys, p, own = kernels.in_order(np.array([ctw._node_key(0, np.zeros(1, np.uint64), np.array([n]))[0] for n in range(1, 200)]), rng.random(199), np.ones(199))
+    cache = {"nodes": kernels.Lookup(keys), "p1": p, "own": own}
+
+    def counting(grams, *rest):
+        asked.update(grams.tolist())
+        return plain(grams, *rest)
+
+    monkeypatch.setattr(ctw, "_code_lengths", counting)
+    chunks = [np.unique(rng.integers(0, 900, 200).astype(np.uint64)) for _ in range(12)] + [np.array([0, 2**64 - 1], np.uint64)] * 2 + [np.zeros(0, np.uint64)]
+    for most, once in ((1 << 19, True), (300, False)):
+        monkeypatch.setattr(ctw, "CODES_KEPT", most)
+        cache.pop("codes", None)
+        asked.clear()
+        for grams in chunks:
+            for got, wanted in zip(ctw._kept_code_lengths(grams, cache, 4), plain(grams, cache, 4)):
+                assert np.array_equal(got, wanted)
+            assert len(cache["codes"][0]) <= max(most, 200) and np.array_equal(cache["codes"][0], np.unique(cache["codes"][0]))
+        assert (max(asked.values()) == 1) == once
+
+
+@pytest.mark.parametrize("held", [2, 64, 1 << 20])
+def test_a_task_adds_up_its_counts(spark, monkeypatch, held):
+    """Counts by gram and word are those of all texts, and a task that can hold them hands on each key once."""
+    monkeypatch.setattr(ctw, "CHUNK_BYTES", 16)
+    monkeypatch.setattr(ctw, "COUNTS_HELD", held)
+    texts = ["the cat sat on the mat", "the cat ran", "", None, "on on on on", "the cat sat on the hat"] * 3
+    grams = Counter((b"\xff" * 4 + (t or "").encode() + b"\xff")[i : i + 5] for t in texts for i in range(len((t or "").encode()) + 1))
+    made = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    rows = ctw.counted(made).collect()
+    assert {row.key: row.n for row in rows if row.kind == ctw._GRAM} == {int.from_bytes(gram, "big"): n for gram, n in grams.items()}
+    words = Counter(word for t in texts for word in (t or "").split())
+    assert sorted(row.n for row in rows if row.kind == ctw._WORD) == sorted([*words.values(), len(texts)])
+    if held == 1 << 20:
+        handed = []
+        monkeypatch.setattr(type(made), "groupBy", lambda self, *keys: handed.append(self) or type("", (), {"agg": lambda *_: self})())
+        assert ctw.counted(made).count() == len(rows)
