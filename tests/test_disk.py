@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from salesmart import fixtures as fx, storage
 from salesmart.functions.hashing import row_hash
 from salesmart.plans import catalog
+from salesmart.sources.warehouse import Warehouse
 from salesmart.storage import Scratch
 
 
@@ -68,6 +69,24 @@ def test_the_cleanup_setting_is_put_back_when_the_last_one_leaves(spark):
     assert spark.conf.get(storage._CLEANUP) == "false" and not storage._cleaning
 
 
+def test_facts_of_a_range_are_written_beside_the_judged_rows_only(spark, monkeypatch):
+    """When the fact rows of all dates are written, what judging them took is gone, and the run log counts every row."""
+    fresh(monkeypatch)
+    beside = []
+    write = Warehouse.write_attempt
+
+    def noted(self, df, table, attempt, load_id=None):
+        root = storage.shared_root(spark).removeprefix("file:") + "/salesmart"
+        runs = [os.path.join(root, name) for name in os.listdir(root) if name.startswith("runs-")]
+        beside.extend((table, name.split("-")[0]) for run in runs for name in os.listdir(run))
+        return write(self, df, table, attempt, load_id)
+
+    monkeypatch.setattr(Warehouse, "write_attempt", noted)
+    runs = catalog.QUERIES["backfill_runs"](spark, SMALL)
+    assert {name for table, name in beside if table == "fact_sales"} == {"judged", "splits"}
+    assert runs.agg(F.sum("rows_staged")).first()[0] == fx.pos_rows(spark, SMALL).count()
+
+
 def test_backfilled_rows_are_held_once_on_the_way(spark, monkeypatch, written):
     """Staged rows are read where they were landed, and what is judged leaves out the hash that follows from other columns."""
     fresh(monkeypatch)
